@@ -26,4 +26,64 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM crcs
 """
 
-ORACLES: dict[str, str] = {"op7_sharding": OP7}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP4 = f"""
+WITH item AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+sized AS (SELECT item, w, least(len(w), 10) AS n FROM item WHERE len(w) > 0),
+item_starts AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM item_starts),
+doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+doc_starts AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win)),
+hit AS (SELECT d.rid, d.i, d.n, win.item FROM (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM doc_starts) d JOIN win USING (n, words)),
+hit_words AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM hit) GROUP BY rid),
+hit_items AS (SELECT rid, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+"""
+
+_KEYWORDS = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]"
+_PREFIX = rf"(?:{_KEYWORDS})[\"'']?\x20*[:=]\x20*[\"'']?"
+
+
+def _found(kind: str, rank: int, pattern: str, rest: str) -> str:
+    return f"""
+    SELECT rid, '{kind}' AS kind, {rank} AS rank, g + m AS start, g + m + length(x) AS stop FROM (
+        SELECT rid, ms[i] AS x, list_sum(list_transform(gs[1:i], lambda s: length(s)))::BIGINT AS g,
+               coalesce(list_sum(list_transform(ms[1:i - 1], lambda s: length(s))), 0)::BIGINT AS m
+        FROM (SELECT rid, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
+            SELECT rid, regexp_extract_all(body, '{pattern}') AS ms, string_split_regex(body, '{pattern}') AS gs FROM doc)))
+    WHERE {rest}"""
+
+
+OP9 = f"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+found AS ({_found("assign", 0, _PREFIX + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(x, '^{_PREFIX}', '')) >= 12")} UNION ALL
+          {_found("access", 1, "AKIA[A-Z0-9]+", "length(x) >= 18")} UNION ALL
+          {_found("hex", 2, "[0-9a-f]+", "length(x) >= 16")}),
+listed AS (
+    SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+    FROM found GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN listed USING (rid)
+"""
+
+OP2 = """
+WITH RECURSIVE
+sized AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (
+    SELECT vec_id, e FROM sized
+    WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND coalesce(list_sum(list_transform(e, lambda x: x * x)), 0) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a, good b WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id)::BIGINT AS n_links,
+       least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS kept
+FROM embeddings
+"""
+
+ORACLES: dict[str, str] = {"op2_embeddings": OP2, "op4_decontamination": OP4, "op7_sharding": OP7, "op9_secrets": OP9}
