@@ -36,10 +36,10 @@ def fewer_files(df: DataFrame) -> DataFrame:
     return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def cut(df: DataFrame, what: str) -> DataFrame:
+def cut(df: DataFrame, what: str, narrow: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows neither repeats its work nor depends on an executor."""
     path = f"{work_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    fewer_files(df).write.parquet(path)
+    (fewer_files(df) if narrow else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
