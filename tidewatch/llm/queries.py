@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, packing, secrets, sharding, simhash, substrings, toxicity
+from tidewatch.llm import decontaminate, packing, secrets, sharding, simhash, substrings, toxicity, vectors
 from tidewatch.llm.common import fewer_files
 from tidewatch.llm.oracles import ORACLES
 
@@ -27,6 +27,10 @@ def op1_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
