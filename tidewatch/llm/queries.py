@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import decontaminate, packing, secrets, sharding, simhash, substrings, toxicity, vectors
+from tidewatch.llm import decontaminate, licenses, materialise, packing, secrets, sharding, simhash, substrings, toxicity, vectors
 from tidewatch.llm.common import fewer_files
 from tidewatch.llm.oracles import ORACLES
 
+#: Where the vocabulary of op8 is; it travels to the executors with the tasks.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,6 +35,10 @@ def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +56,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), [1.0] * 8)
 
 
+def op8_materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the public vocabulary where it is installed, and bytes as tokens where it is not."""
+    known = Path(VOCABULARY).exists()
+    return materialise.materialise(_table(spark, sf_dir, "documents"), materialise.RankTokenizer.from_file(VOCABULARY) if known else None)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
