@@ -1,0 +1 @@
+"""A PySpark-native data-quality gate and analytics engine for event streams."""
