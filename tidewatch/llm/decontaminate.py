@@ -39,22 +39,27 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, id_col: str =
     return windows.groupBy("window", "len").agg(F.collect_set("item").alias("items"))
 
 
-def _starts(length: int) -> Column:
-    n = F.size("w")
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: as a column, the optimiser may put it into every step of a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _starts(w: Column, length: int) -> Column:
+    n = F.size(w)
     return F.when(n >= length, F.sequence(F.lit(1), n - (length - 1))).otherwise(F.array().cast("array<int>"))
 
 
-def _hit(length: int):
-    return lambda i: F.struct(i.alias("pos"), F.lit(length).alias("len"), F.array_join(F.slice("w", i, length), " ").alias("window"))
+def _hit(w: Column, length: int):
+    return lambda i: F.struct(i.alias("pos"), F.lit(length).alias("len"), F.array_join(F.slice(w, i, length), " ").alias("window"))
 
 
-def _in_set(length: int, hashes: list[int]):
-    return lambda i: F.xxhash64(F.slice("w", i, length)).isin(hashes)
+def _in_set(w: Column, length: int, hashes: list[int]):
+    return lambda i: F.xxhash64(F.slice(w, i, length)).isin(hashes)
 
 
-def _candidates(lengths: dict[int, list[int]]) -> Column:
-    """Of the words in w: the windows whose hash is in the set of their length."""
-    parts = [F.transform(F.filter(_starts(n), _in_set(n, hashes)), _hit(n)) for n, hashes in sorted(lengths.items())]
+def _candidates(w: Column, lengths: dict[int, list[int]]) -> Column:
+    """Of the words w: the windows whose hash is in the set of their length."""
+    parts = [F.transform(F.filter(_starts(w, n), _in_set(w, n, hashes)), _hit(w, n)) for n, hashes in sorted(lengths.items())]
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
@@ -72,17 +77,20 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     """
     windows = cut(benchmark_windows(benchmark, window), "windows")
     n_windows = windows.count()
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words_of(text_col).alias("w")).withColumn("n_words", F.size("w").cast("long"))
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), words_of(text_col).alias("w"))
+    n_words = F.size("w").cast("long").alias("n_words")
     if n_windows == 0:
-        return keyed.select("row", "doc_id", "n_words", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("array<string>").alias("items"))
+        return keyed.select("row", "doc_id", n_words, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("array<string>").alias("items"))
     if n_windows <= set_windows:
-        found = keyed.select("row", "doc_id", "n_words", F.explode_outer(_candidates(_set(windows))).alias("hit")).select("row", "doc_id", "n_words", "hit.*")
+        lengths = _set(windows)
+        both = bound(F.col("w"), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), _candidates(w, lengths).alias("hits")))
+        found = keyed.select("row", "doc_id", both.alias("x")).select("row", "doc_id", "x.n_words", F.explode_outer("x.hits").alias("hit")).select("row", "doc_id", "n_words", "hit.*")
         return found.join(F.broadcast(windows), ["window", "len"], "left").select("row", "doc_id", "n_words", "pos", "len", "items")
     keyed = cut(keyed, "words")
     lengths = [r["len"] for r in windows.select("len").distinct().collect()]
-    every = F.concat(*[F.transform(_starts(n), _hit(n)) for n in lengths])
+    every = bound(F.col("w"), lambda w: F.concat(*[F.transform(_starts(w, n), _hit(w, n)) for n in lengths]))
     found = keyed.select("row", F.explode(every).alias("hit")).select("row", "hit.*").join(windows, ["window", "len"]).select("row", "pos", "len", "items")
-    return keyed.select("row", "doc_id", "n_words").join(found, "row", "left")
+    return keyed.select("row", "doc_id", n_words).join(found, "row", "left")
 
 
 def _covered(spans: Column) -> Column:
@@ -135,13 +143,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         return docs
     names = docs.columns
     taken = {n.lower() for n in names}
-    w, spans, row = (next(f"{n}_{k}" for k in range(len(taken) + 1) if f"{n}_{k}" not in taken) for n in ("w", "spans", "row"))
+    spans, row = (next(f"{n}_{k}" for k in range(len(taken) + 1) if f"{n}_{k}" not in taken) for n in ("spans", "row"))
     if n_windows <= set_windows:
         texts = [r["window"] for r in windows.select("window").collect()]
+        lengths = _set(windows)
+
         # the window's words are compared only where its hash is found
-        real = F.filter(_candidates(_set(windows)), lambda h: h["window"].isin(texts))
-        boxed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("d"), words_of(text_col).alias("w"))
-        marked = boxed.select("d", F.transform(real, lambda h: F.struct(h["pos"].alias("pos"), h["len"].alias("len"))).alias("s"))
+        def verified(w: Column) -> Column:
+            real = F.filter(_candidates(w, lengths), lambda h: h["window"].isin(texts))
+            return F.transform(real, lambda h: F.struct(h["pos"].alias("pos"), h["len"].alias("len")))
+
+        boxed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("d"), bound(words_of(text_col), verified).alias("s"))
+        marked = boxed
         if remove == "documents":
             return marked.where(F.size("s") == 0).select("d.*")
         marked = marked.select(*[F.col(f"d.`{n}`") for n in names], F.col("s").alias(spans))
@@ -154,9 +167,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         marked = keyed.join(found, row, "left").withColumn(spans, F.coalesce(spans, F.array().cast("array<struct<pos:int,len:int>>"))).drop(row)
     text = text_of(text_col)
     gone = F.array_distinct(F.flatten(F.transform(F.col(spans), lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
-    kept = F.zip_with(
-        F.transform(F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0)), lambda x, i: F.when(F.array_contains(gone, i + 1), F.lit("")).otherwise(x)),
-        F.split(text, ANY_CASE_WORD, -1),
-        lambda word, gap: F.concat(gap, F.coalesce(word, F.lit(""))),
-    )
-    return marked.withColumn(text_col, F.when(F.size(spans) == 0, F.col(text_col)).otherwise(F.array_join(kept, ""))).drop(spans, w)
+    words = F.regexp_extract_all(text, F.lit(ANY_CASE_WORD), F.lit(0))
+    left = bound(gone, lambda g: F.transform(words, lambda x, i: F.when(F.array_contains(g, i + 1), F.lit("")).otherwise(x)))
+    kept = F.zip_with(left, F.split(text, ANY_CASE_WORD, -1), lambda word, gap: F.concat(gap, F.coalesce(word, F.lit(""))))
+    return marked.withColumn(text_col, F.when(F.size(spans) == 0, F.col(text_col)).otherwise(F.array_join(kept, ""))).drop(spans)
