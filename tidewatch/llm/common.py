@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import tempfile
 import uuid
@@ -43,6 +44,18 @@ def cut(df: DataFrame, what: str, narrow: bool = True) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Send batches of at most ``rows`` rows to Python in the jobs that run inside; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files behind frames that ``cut`` returned, once nothing reads them any more."""
     for df in frames:

@@ -17,7 +17,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import cut, small, text_of
+from tidewatch.llm.common import batches_of, cut, small, text_of
 
 SEQUENCE_TOKENS, SHARD_ROWS, ROUNDS = 1024, 2048, 6
 #: How byte-level vocabularies of this kind split a text; fixed by the vocabulary.
@@ -168,7 +168,8 @@ def materialise(
         raise ValueError("sequence_tokens and shard_rows must be at least 1")
     tokenizer = tokenizer or ByteTokenizer()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    staged = cut(rows.mapInArrow(_sequences(tokenizer, sequence_tokens), "doc_id long, seq int, n_tokens int, tokens binary"), "tokens", narrow=False)
+    with batches_of(docs.sparkSession, 1000):
+        staged = cut(rows.mapInArrow(_sequences(tokenizer, sequence_tokens), "doc_id long, seq int, n_tokens int, tokens binary"), "tokens", narrow=False)
     files = staged.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     files = cut(files, "token-files")
     n_files, n = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
