@@ -16,50 +16,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def mark_first_seen(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order: str = "seq", out: str = "duplicate") -> DataFrame:
+def mark_first_seen(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
     """The closed form, for streams of at most N distinct ids."""
-    w = Window.partitionBy(*keys, id_col).orderBy(order)
-    return rows.withColumn(out, F.row_number().over(w) > 1)
+    if among is None:
+        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*keys, id_col).orderBy(order)) > 1)
+    w = Window.partitionBy(*keys, id_col, among).orderBy(order)
+    return rows.withColumn(out, F.col(among) & (F.row_number().over(w) > 1))
 
 
-def _replay(keys: list[int], id_at: int, window: int):
+def _replay(keys: list[int], id_at: int, among: int | None, window: int, out: str):
     def run(batches):
         stream, inserted, count = None, {}, 0
         for batch in batches:
-            names = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
+            names = zip(*[batch.column(k).to_pylist() for k in keys], strict=True)
+            counts = batch.column(among).to_pylist() if among is not None else [True] * batch.num_rows
             flags = []
-            for name, trade in zip(names, batch.column(id_at).to_pylist(), strict=True):
+            for name, trade, in_question in zip(names, batch.column(id_at).to_pylist(), counts, strict=True):
                 if name != stream:
                     stream, inserted, count = name, {}, 0
+                if not in_question:
+                    flags.append(False)
+                    continue
                 at = inserted.get(trade)
                 if at is not None and count - at < window:
                     flags.append(True)
                     continue
                 flags.append(False)
                 count += 1
-                inserted.pop(trade, None)  # re-insert at the end: ids stay in the order of insertion
                 inserted[trade] = count
                 if len(inserted) > 2 * window + 1024:
                     inserted = {t: a for t, a in inserted.items() if count - a < window}
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flags, pa.bool_())], names=[*batch.schema.names, "flag"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flags, pa.bool_())], names=[*batch.schema.names, out])
 
     return run
 
 
-def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate") -> DataFrame:
+def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
     """The general form: one pass over each stream in order, batch by batch, holding about 2 N ids."""
     cols = rows.columns
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.BooleanType())])
     lined = rows.repartition(*keys).sortWithinPartitions(*keys, order)
-    return lined.mapInArrow(_renamed(_replay([cols.index(k) for k in keys], cols.index(id_col), window), out), schema)
-
-
-def _renamed(run, out):
-    def named(batches):
-        for b in run(batches):
-            yield b.rename_columns([*b.schema.names[:-1], out])
-
-    return named
+    return lined.mapInArrow(_replay([cols.index(k) for k in keys], cols.index(id_col), cols.index(among) if among else None, window, out), schema)
 
 
 def most_ids(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id") -> int:
@@ -67,8 +64,11 @@ def most_ids(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id") ->
     return rows.groupBy(*keys).agg(F.count_distinct(id_col).alias("n")).agg(F.max("n")).first()[0] or 0
 
 
-def mark_duplicates(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate") -> DataFrame:
-    """Take the closed form where it is exact, as a count decides, and the general form elsewhere."""
-    if most_ids(rows, keys, id_col) <= window:
-        return mark_first_seen(rows, keys, id_col, order, out)
-    return mark_fifo(rows, keys, window, id_col, order, out)
+def mark_duplicates(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
+    """Take the closed form where it is exact, as a count decides, and the general form elsewhere.
+
+    ``among`` names a boolean column: only rows where it is true count, others are never duplicates.
+    """
+    if most_ids(rows.where(F.col(among)) if among else rows, keys, id_col) <= window:
+        return mark_first_seen(rows, keys, id_col, order, out, among)
+    return mark_fifo(rows, keys, window, id_col, order, out, among)

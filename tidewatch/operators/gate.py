@@ -53,9 +53,11 @@ def gap(rules: Rules) -> Column:
 def last_prints(accepted: DataFrame, rules: Rules, chunk: int | None = None) -> DataFrame:
     """Add price_0, ts_0, fresh_0 and the same with 1: each venue's last print of the symbol, in order of arrival, and whether it counts.
 
-    A print counts while the row's event time is at most the staleness bound after it.
+    A print counts while the row's event time is at most the staleness bound after it. With a column ``accepted`` rows
+    where it is false print nothing.
     """
-    outputs = {f"print_{k}": ("last", F.when(F.col("exchange") == venue, F.struct("price", "ts_event"))) for k, venue in enumerate(rules.venues)}
+    counts = F.col("accepted") if "accepted" in accepted.columns else F.lit(True)
+    outputs = {f"print_{k}": ("last", F.when(counts & (F.col("exchange") == venue), F.struct("price", "ts_event"))) for k, venue in enumerate(rules.venues)}
     out = running(accepted, ["symbol"], "seq", outputs, chunk=chunk)
     for k in (0, 1):
         p = F.col(f"print_{k}")
@@ -72,6 +74,8 @@ def divergence(accepted: DataFrame, rules: Rules, chunk: int | None = None) -> D
     """
     prints = last_prints(accepted, rules, chunk)
     both = F.col("fresh_0") & F.col("fresh_1")
+    if "accepted" in prints.columns:
+        both = both & F.col("accepted")
     middle = (F.col("price_0") + F.col("price_1")) / F.lit(2.0)
     prints = prints.withColumn("deviation_pct", F.when(both, F.try_divide(F.abs(F.col("price_0") - F.col("price_1")), middle) * F.lit(100.0)))
     over = F.coalesce((F.col("deviation_pct") > rules.deviation_pct) & ~F.isnan("deviation_pct"), F.lit(False))
@@ -96,46 +100,43 @@ def evaluate(trades: DataFrame, rules: Rules | None = None, keys: Sequence[str]
     extra = [c for c in trades.columns if c not in (*NAMES, "seq", "malformed", "decode_error")]
     malformed = F.col("malformed") if "malformed" in trades.columns else F.lit(False)
     why = F.col("decode_error") if "decode_error" in trades.columns else F.lit("frame does not decode")
-    staged = trades.select(
-        "seq", *extra, *NAMES,
-        F.when(malformed, F.lit("R1")).when(range_failure(rules).isNotNull(), F.lit("R2")).alias("early"),
-        F.when(malformed, why).otherwise(range_failure(rules)).alias("early_detail"),
-    )
-    failed = staged.where(F.col("early").isNotNull())
-    passed = mark_duplicates(staged.where(F.col("early").isNull()).drop("early", "early_detail"), keys, rules.dedup_window)
+    early = F.when(malformed, F.lit("R1")).when(range_failure(rules).isNotNull(), F.lit("R2"))
+    staged = trades.select("seq", *extra, *NAMES, early.alias("_early"), F.when(malformed, why).otherwise(range_failure(rules)).alias("_wrong"), early.isNull().alias("_passed"))
+    # One line of windows over all rows; rows that have failed stay in place and count for nothing.
+    rows = mark_duplicates(staged, keys, rules.dedup_window, among="_passed", out="_again")
+    if divergences and chunk is None and "symbol" in keys:
+        rows = rows.repartition("symbol")  # serves the windows of the streams and of the symbols alike
     # R4 only fails rows below the watermark, so it is the running maximum of all that R1 to R3 let pass.
-    fresh = watermarks(passed.where(~F.col("duplicate")), keys, chunk).withColumn("late", late(rules))
-    accepted = fresh.where(~F.col("late")).withColumn("gap", gap(rules))
+    kept = F.col("_passed") & ~F.col("_again")
+    rows = running(rows, keys, "seq", {"watermark": ("max", F.when(kept, F.col("ts_event")))}, inclusive=False, chunk=chunk)
+    rows = rows.withColumn("_late", kept & late(rules)).withColumn("accepted", kept & ~F.col("_late")).withColumn("_gap", F.col("accepted") & gap(rules))
     if divergences:
-        accepted = divergence(accepted, rules, chunk)
+        rows = divergence(rows, rules, chunk)
     else:
-        accepted = accepted.withColumns({"fresh_0": F.lit(True), "fresh_1": F.lit(True), "diverged": F.lit(False), "deviation_pct": F.lit(None).cast("double"), "sustained": F.lit(None).cast("long")})
-    record = F.struct(*NAMES).alias("record")
-
-    def labelled(rows: DataFrame, rule: Column, detail: Column) -> DataFrame:
-        reason = reduce(lambda c, r: c.when(rule == r, F.lit(rules.reasons[r])), ("R1", "R2", "R3", "R4"), F.when(F.lit(False), F.lit("")))
-        return rows.select(
-            "seq", *extra, F.lit("quarantine").alias("disposition"), rule.alias("rule_id"), reason.alias("reason"), detail.alias("detail"),
-            F.when(rule != "R1", F.struct(*NAMES)).alias("record"), F.array().cast(ALERTS).alias("alerts"), F.array().cast("array<string>").alias("stale"),
-        )
+        rows = rows.withColumns({"fresh_0": F.lit(True), "fresh_1": F.lit(True), "diverged": F.lit(False), "deviation_pct": F.lit(None).cast("double"), "sustained": F.lit(None).cast("long")})
+
+    rule = F.when(~F.col("_passed"), F.col("_early")).when(F.col("_again"), F.lit("R3")).when(F.col("_late"), F.lit("R4"))
+    reason = reduce(lambda c, r: c.when(F.col("rule_id") == r, F.lit(rules.reasons[r])), ("R1", "R2", "R3", "R4"), F.when(F.lit(False), F.lit("")))
+    detail = (
+        F.when(~F.col("_passed"), F.col("_wrong"))
+        .when(F.col("_again"), F.concat(F.lit("trade id seen: "), F.col("trade_id")))
+        .when(F.col("_late"), F.format_string("%d ms before the watermark", F.col("watermark") - F.col("ts_event")))
+        .otherwise(F.lit(""))
+    )
 
-    def alert(rule: str, stream: Column, detail: Column) -> Column:
-        return F.struct(F.lit(rule).alias("rule_id"), F.lit(rules.reasons[rule]).alias("reason"), stream.alias("stream"), detail.alias("detail"), F.col("ts_event").alias("at_event_ms"))
+    def alert(rule_id: str, stream: Column, text: Column) -> Column:
+        return F.struct(F.lit(rule_id).alias("rule_id"), F.lit(rules.reasons[rule_id]).alias("reason"), stream.alias("stream"), text.alias("detail"), F.col("ts_event").alias("at_event_ms"))
 
     jump = F.format_string("watermark jumped %d ms", F.col("ts_event") - F.col("watermark"))
     apart = F.format_string("venues %.4f%% apart for %d ms", F.col("deviation_pct"), F.col("sustained"))
-    alerts = F.array_compact(F.array(F.when(F.col("gap"), alert("R5", stream_name(*keys), jump)), F.when(F.col("diverged"), alert("R6", F.col("symbol"), apart))))
-    stale = F.array_compact(F.array(*[F.when(~F.col(f"fresh_{k}"), F.lit(venue)) for k, venue in enumerate(rules.venues)]))
-    valid = accepted.select(
-        "seq", *extra, F.lit("valid").alias("disposition"), F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("string").alias("reason"), F.lit("").alias("detail"),
-        record, alerts.cast(ALERTS).alias("alerts"), stale.alias("stale"),
+    none = F.array().cast(ALERTS)
+    alerts = F.array_compact(F.array(F.when(F.col("_gap"), alert("R5", stream_name(*keys), jump)), F.when(F.col("diverged"), alert("R6", F.col("symbol"), apart)))).cast(ALERTS)
+    stale = F.array_compact(F.array(*[F.when(F.col("accepted") & ~F.col(f"fresh_{k}"), F.lit(venue)) for k, venue in enumerate(rules.venues)]))
+    out = rows.withColumn("rule_id", rule)
+    return out.select(
+        "seq", *extra, F.when(F.col("rule_id").isNull(), F.lit("valid")).otherwise(F.lit("quarantine")).alias("disposition"), "rule_id", reason.alias("reason"), detail.alias("detail"),
+        F.when(F.coalesce(F.col("rule_id") != "R1", F.lit(True)), F.struct(*NAMES)).alias("record"), F.when(F.col("_gap") | F.col("diverged"), alerts).otherwise(none).alias("alerts"), stale.alias("stale"),
     )
-    duplicates = labelled(passed.where("duplicate"), F.lit("R3"), F.concat(F.lit("trade id seen: "), F.col("trade_id")))
-    lates = labelled(fresh.where("late"), F.lit("R4"), F.format_string("%d ms before the watermark", F.col("watermark") - F.col("ts_event")))
-    out = labelled(failed, F.col("early"), F.col("early_detail"))
-    for part in (duplicates, lates, valid):
-        out = out.unionByName(part)
-    return out
 
 
 def route(verdicts: DataFrame, gates_off: bool = False) -> Column:

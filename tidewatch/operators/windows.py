@@ -13,15 +13,15 @@ def running(df: DataFrame, by: Sequence[str], order: str, outputs: dict[str, tup
 
     Without ``chunk`` a group is one sorted window, which suits many streams. With it, stretches of ``chunk`` order
     numbers are aggregated on their own, a window over these few rows carries what went before each stretch, and the rows
-    are windowed within their stretch only: one stream then spreads over as many tasks as it has stretches. ``df`` is
-    read twice in that case.
+    are windowed within their stretch only: one stream then spreads over as many tasks as it has stretches. Both steps
+    read one shuffle by stretch, so that ``df`` is computed once.
     """
     end = 0 if inclusive else -1
     whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, end)
     if chunk is None:
         return df.withColumns({name: _over(kind, value, whole) for name, (kind, value) in outputs.items()})
-    cut = df.withColumn("_stretch", F.floor(F.col(order) / chunk))
     group = [*by, "_stretch"]
+    cut = df.withColumn("_stretch", F.floor(F.col(order) / chunk)).repartition(*group)
     totals = []
     for name, (kind, value) in outputs.items():
         agg = {"max": F.max(value), "sum": F.sum(value), "last": F.max_by(value, F.when(value.isNotNull(), F.col(order)))}[kind]
