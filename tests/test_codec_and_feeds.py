@@ -115,3 +115,48 @@ def test_backward_compatibility(monkeypatch):
     client = registry.SchemaRegistry("http://host/")
     monkeypatch.setattr(client, "_call", lambda *a: calls.append(a) or {"id": 3, "is_compatible": True})
     assert registry.ensure_registered(client) == 3 and client.compatible() and client.url == "http://host" and len(calls) == 3
+
+
+def test_live_reader_repeats_uncommitted_rows():
+    import threading
+    import time
+
+    from tidewatch.sources.live import VenueReader
+
+    more = threading.Event()
+
+    class Connection:
+        def send(self, text):
+            pass
+
+        def __iter__(self):
+            yield from ('{"k": 1}', '{"k": 2}')
+            more.wait()
+            yield '{"k": 3}'
+            threading.Event().wait()
+
+    reader = VenueReader({"feed": "coinbase"}, lambda url: Connection())
+    deadline = time.monotonic() + 10
+    while reader.buffer.next < 2 and time.monotonic() < deadline:
+        time.sleep(0.01)
+    rows, end = reader.read(reader.initialOffset())
+    first = list(rows)
+    assert [r[0] for r in first] == ['{"k": 1}', '{"k": 2}'] and end == {"n": 2}
+    assert list(reader.readBetweenOffsets({"n": 0}, end)) == first
+    reader.commit(end)
+    more.set()
+    while reader.buffer.next < 3 and time.monotonic() < deadline:
+        time.sleep(0.01)
+    rows, end = reader.read(end)
+    assert [r[0] for r in rows] == ['{"k": 3}'] and end == {"n": 3} and reader.buffer.first == 2
+
+
+def test_verified_trades(spark, tmp_path):
+    from tidewatch.functions.digests import content_digest
+
+    df = spark.createDataFrame([trade(i) for i in range(3)], SCHEMA)
+    files.write_trades(df, str(tmp_path / "t"))
+    pin = content_digest(r.asDict() for r in df.orderBy("seq").collect())
+    assert files.verified_trades(spark, str(tmp_path / "t"), pin).count() == 3
+    with pytest.raises(ValueError):
+        files.verified_trades(spark, str(tmp_path / "t"), "0")

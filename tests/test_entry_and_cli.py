@@ -58,7 +58,7 @@ def test_commands(spark, tmp_path, capsys):
     assert cli.main(["bars", "--input", path, "--output", str(tmp_path / "bars")]) == 0
     assert cli.main(["slo", "--rows", "300"]) == 0
     assert cli.main(["metrics", "--path", path]) == 0
-    assert cli.main(["export", "--path", path, "--content-sha256", "a", "--parquet-sha256", "b", "--output", str(tmp_path / "site")]) == 0
+    assert cli.main(["export", "--path", path, "--content-sha256", digest, "--parquet-sha256", "b", "--output", str(tmp_path / "site")]) == 0
     assert (tmp_path / "site" / "index.html").exists()
     assert cli.main(["sanity", "--root", str(tmp_path / "none")]) == 2
     from tidewatch.functions.codec import encode_frames

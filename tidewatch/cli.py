@@ -82,7 +82,10 @@ def fixture(args) -> int:
 
 def _faulted(args, spark):
     rules = _rules(args)
-    clean = files.read_trades(spark, args.path) if args.path else faultlab.clean_fixture(spark, args.rows, args.seed)
+    if args.path and args.content_sha256:
+        clean = files.verified_trades(spark, args.path, args.content_sha256)
+    else:
+        clean = files.read_trades(spark, args.path) if args.path else faultlab.clean_fixture(spark, args.rows, args.seed)
     faulted = faultlab.inject(clean, rules, args.seed)
     return rules, faulted, faultlab.trades_of(faulted).persist(), faultlab.manifest_of(faulted).persist()
 
@@ -160,9 +163,22 @@ def capture(args) -> int:
 
 
 def ingest(args) -> int:
-    """Records of a capture to the raw topic, or to a folder of frames where there is no broker."""
+    """Live feeds, or the records of a capture, to the raw topic, or to a folder of frames where there is no broker."""
     from tidewatch.sources import broker
 
+    if not args.input:
+        from tidewatch.sources.live import live_trades
+
+        ensure_registered(SchemaRegistry(args.registry))
+        running = []
+        for name in args.feeds:
+            writer = broker.frames_of(live_trades(_spark(), name, args.symbols)).writeStream.option("checkpointLocation", f"{args.output}/_checkpoint/{name}")
+            running.append(writer.format("kafka").options(**broker.write_options(args.servers, broker.RAW)).start() if args.servers else writer.format("parquet").start(args.output))
+        for q in running:
+            q.awaitTermination(int(args.duration))
+            print(q.name or q.id, (q.lastProgress or {}).get("numInputRows", 0))
+            q.stop()
+        return 0
     frames = broker.frames_of(files.read_capture(_spark(), args.input))
     if args.servers:
         broker.write_batch(frames, args.servers, broker.RAW)
@@ -202,19 +218,20 @@ def parser() -> argparse.ArgumentParser:
         p.set_defaults(handler=handler)
 
     rules = ("--rules", {"help": "YAML file of the rules; the contract's by default"})
-    source = [("--path", {"help": "clean trades; generated by default"}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), rules]
+    pins = [("--content-sha256", {"default": "", "help": "digest the fixture must have"}), ("--parquet-sha256", {"default": ""})]
+    source = [("--path", {"help": "clean trades; generated by default"}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), rules, pins[0]]
     servers = ("--servers", {"help": "broker addresses"})
-    pins = [("--content-sha256", {"default": ""}), ("--parquet-sha256", {"default": ""})]
     command("contract", contract, ("--registry", {"default": "http://localhost:8081"}), actions=("register", "check", "show"))
-    command("ingest", ingest, ("--input", {"required": True}), ("--output", {"default": "frames"}), servers)
-    command("capture", capture, ("--root", {"default": "captures"}), ("--duration", {"type": float, "default": 300.0}), ("--feeds", {"nargs": "+", "default": sorted(feeds.FEEDS)}), ("--symbols", {"nargs": "+", "default": ["BTC-USD", "ETH-USD"]}))
+    live = [("--feeds", {"nargs": "+", "default": sorted(feeds.FEEDS)}), ("--symbols", {"nargs": "+", "default": ["BTC-USD", "ETH-USD"]}), ("--duration", {"type": float, "default": 300.0})]
+    command("ingest", ingest, ("--input", {"help": "a capture; live feeds if left out"}), ("--output", {"default": "frames"}), ("--registry", {"default": "http://localhost:8081"}), servers, *live)
+    command("capture", capture, ("--root", {"default": "captures"}), *live)
     command("sanity", sanity, ("--root", {"default": "captures"}), ("--capture", {}), ("--min", {"nargs": "*", "default": [], "help": "venue=count"}))
     command("gate", run_gate, ("--input", {"default": "frames"}), ("--output", {"default": "gated"}), ("--gates-off", {"action": "store_true"}), ("--max-files", {"type": int}), rules, servers)
     command("bars", run_bars, ("--input", {"required": True}), ("--output", {"default": "bars"}), ("--gates-off", {"action": "store_true"}), rules)
     command("fixture", fixture, ("--path", {"required": True}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), pins[0], actions=("generate", "verify"))
     command("slo", run_slo, *source)
     command("metrics", metrics, *source)
-    command("export", export, *source, *pins, ("--output", {"default": "site"}), ("--profile", {"default": "local"}))
+    command("export", export, *source, pins[1], ("--output", {"default": "site"}), ("--profile", {"default": "local"}))
     command("quarantine", quarantine, ("--path", {"required": True}), ("--key", {}), ("--limit", {"type": int, "default": 100}), actions=("ls", "show", "stats"))
     return out
 
