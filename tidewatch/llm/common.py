@@ -32,15 +32,22 @@ def work_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def _files(spark: SparkSession) -> int:
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def fewer_files(df: DataFrame) -> DataFrame:
-    """``df`` in at most two partitions for each core of the cluster, merged without a shuffle: for narrow rows, whose files would be tiny."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    """The narrow results of a heavy stage, dealt evenly to two files for each core; the stage itself keeps its width."""
+    return df.repartition(_files(df.sparkSession))
 
 
 def cut(df: DataFrame, what: str, narrow: bool = True) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: what follows neither repeats its work nor depends on an executor."""
+    """Write ``df`` to the shared folder and read it back: what follows neither repeats its work nor depends on an executor.
+
+    Narrow rows would make tiny files; their partitions are merged, without a shuffle, to two for each core at most.
+    """
     path = f"{work_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    (fewer_files(df) if narrow else df).write.parquet(path)
+    (df.coalesce(_files(df.sparkSession)) if narrow else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -140,7 +147,7 @@ def components(links: DataFrame) -> DataFrame:
     pointers one step; the rounds grow with the logarithm of the longest chain. Rounds are cut off in the shared folder.
     """
     a, b = links.columns[:2]
-    edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).where("node <> root")
+    edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).where("node <> root").repartition("node")
     while True:
         stars = cut(edges.mapInArrow(_local_forest, "node long, root long"), "stars")
         least = cut(stars.groupBy("node").agg(F.min("root").alias("m"), F.max("root").alias("most")), "least")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import cut, text_of
+from tidewatch.llm.common import cut, fewer_files, text_of
 
 
 def either_case(word: str) -> str:
@@ -100,9 +100,9 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule]
             known = spark.read.parquet(ledger_path)
     fresh = scan_blobs(docs, known, rules, text_col)
     if ledger_path is None:
-        ledger = cut(fresh, "ledger")
+        ledger = cut(fewer_files(fresh), "ledger")
     else:
-        fresh.write.mode("append").parquet(ledger_path)
+        fewer_files(fresh).write.mode("append").parquet(ledger_path)
         ledger = spark.read.parquet(ledger_path)
     order = {r.id: k for k, r in enumerate(rules)}
     current = ledger.where(F.col("rule").isin(list(order)) & (F.size("found") > 0))

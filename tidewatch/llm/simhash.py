@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import components, cut, forest, small
+from tidewatch.llm.common import components, cut, fewer_files, forest, small
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     like any other. Rows that repeat an id are kept, one for each; ids must not be null. An empty table gives an empty
     result. Other columns are ignored.
     """
-    prints = cut(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
+    prints = cut(fewer_files(fingerprints(docs, words, seed, id_col, text_col)), "fingerprints")
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
     # Two fingerprints whose smallest document is the same (an id that repeats) are one node.
     roots = components(link_fingerprints(distinct, radius))
