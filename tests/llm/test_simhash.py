@@ -102,6 +102,18 @@ def test_repeated_rows_and_empty_table(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_that_repeats_keeps_what_its_texts_deserve(spark):
+    docs = spark.createDataFrame([(0, "a b c d e", "x", "y"), (1, "a b c d e", "x", "y"), (1, "quite other words here", "x", "y")], SCHEMA)
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()) == [(0, "a b c d e"), (1, "quite other words here")]
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b c d e", "x", None), (2**60 + 1, "a b c d e", None, "y"), (2**60, "other words here now", "x", "y")], SCHEMA)
+    out = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert out == {(None, None), (2**60 + 1, None), (2**60, 2**60)}
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == {None, 2**60}
+
+
 def test_components_on_a_long_chain(spark):
     rng = random.Random(5)
     ids = rng.sample(range(10_000), 300)

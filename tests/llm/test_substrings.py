@@ -83,6 +83,13 @@ def test_loser_tree_merges_and_knows_common_prefixes():
         assert prefixes[1:] == [next((i for i in range(12) if a[i] != b[i]), 12) for a, b in zip(got, got[1:], strict=False)]
 
 
+def test_null_ids(spark):
+    text = "x" * 40 + "abcdefghij" * 3
+    docs = spark.createDataFrame([(2**60 + 1, text, None, None), (None, text, 0, 0)], SCHEMA)
+    out = {r["doc_id"]: len(r["kept"]) for r in substrings.remove_repeats(docs, 30).collect()}
+    assert out[2**60 + 1] == 0 and out[None] > 0
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert substrings.remove_repeats(docs).count() == 0

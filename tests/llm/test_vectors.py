@@ -76,6 +76,12 @@ def test_recall_against_brute_force_at_the_threshold():
     assert reached >= 0.99 and index.visits < len(index.codes[0]) ** 2
 
 
+def test_null_ids(spark):
+    rows = [(None, [1.0, 0.0], 0, 0, 0), (2**60 + 1, [1.0, 0.01], None, None, None), (None, None, 0, 0, 0)]
+    out = {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert out == {(None, 1, None, True), (2**60 + 1, 1, None, False), (None, 0, None, True)}
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert vectors.near_duplicates(empty).count() == 0

@@ -82,6 +82,19 @@ def text_of(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+#: Stands for a null id, which so comes before all others.
+NO_ID = -(1 << 63)
+
+
+def known_id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+
+
+def id_again(column: str) -> Column:
+    """The id with null where it was null, under its name."""
+    return F.nullif(F.col(column), F.lit(NO_ID)).alias(column)
+
+
 def order_key(*cols: str | Column) -> Column:
     """A hex key that spreads rows evenly whatever their ids are."""
     return F.md5(F.concat_ws(":", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]).cast("binary"))

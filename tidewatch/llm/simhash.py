@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import components, cut, fewer_files, forest, small
+from tidewatch.llm.common import components, cut, fewer_files, forest, id_again, known_id, small, text_of
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -50,15 +50,20 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED)
 def _fingerprints(words: int, seed: int):
     def run(batches):
         for batch in batches:
-            found = [fingerprint(x.as_py(), words, seed) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            found = [fingerprint(x.as_py(), words, seed) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], names=["doc_id", "text_key", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed long."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints(words, seed), "doc_id long, fp long")
+    """(doc_id, text_key, fp) of every row: NO_ID for a null id, a hash of the text, its fingerprint as a signed long."""
+    rows = docs.select(known_id(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(_fingerprints(words, seed), "doc_id long, text_key long, fp long")
+
+
+def _text_key(text_col: str):
+    return F.xxhash64(text_of(text_col))
 
 
 def to_planes(values: np.ndarray) -> np.ndarray:
@@ -216,24 +221,31 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS, block: int = BLOC
     return met.mapInArrow(_links(radius), "node long, root long")
 
 
+def classes(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, fp, component_id) of every row, NO_ID for null."""
+    prints = cut(fewer_files(fingerprints(docs, words, seed, id_col, text_col)), "fingerprints")
+    # Two fingerprints whose smallest document is the same (an id that repeats) are one node.
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
+    roots = components(link_fingerprints(distinct, radius))
+    named = distinct.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    return prints.join(named, "fp", "left")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The near-duplicate class of every row of ``docs``.
 
     Returns doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id that can be reached over
     fingerprints at most ``radius`` bits apart, itself included. Null, empty and blank texts have fingerprint 0 and link
-    like any other. Rows that repeat an id are kept, one for each; ids must not be null. An empty table gives an empty
+    like any other. Rows that repeat an id are kept, one for each; a null id is the smallest. An empty table gives an empty
     result. Other columns are ignored.
     """
-    prints = cut(fewer_files(fingerprints(docs, words, seed, id_col, text_col)), "fingerprints")
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
-    # Two fingerprints whose smallest document is the same (an id that repeats) are one node.
-    roots = components(link_fingerprints(distinct, radius))
-    classes = distinct.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"), "node")
-    out = prints.join(classes, "fp", "left")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = classes(docs, words, radius, seed, id_col, text_col)
+    return out.select(id_again("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), id_again("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those whose class has a smaller id."""
-    gone = near_duplicates(docs, id_col=id_col, **options).where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest id. Rows that repeat an id and its text are one document."""
+    found = classes(docs, id_col=id_col, text_col=text_col, **options).where("doc_id <> component_id").select("doc_id", "text_key").distinct()
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), known_id(id_col).alias("_id"), _text_key(text_col).alias("_key"))
+    left = named.join(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), ["_id", "_key"], "left_anti")
+    return left.select("row.*")

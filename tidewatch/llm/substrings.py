@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import text_of
+from tidewatch.llm.common import id_again, known_id, text_of
 
 LENGTH = 100
 #: Bytes of text in a chunk, which one Python call sorts; small corpora have smaller chunks, for each core to have some.
@@ -437,12 +437,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     Returns doc_id, n_bytes, removed (array of start, end in bytes: the maximal runs) and kept (the other bytes). A string
     starts earlier if its document has a smaller id, or in the same document at an earlier byte; rows that repeat an id
-    are documents of their own, in the order of their texts. Null texts are empty, null ids not allowed. An empty table
+    are documents of their own, in the order of their texts. Null texts are empty, null ids come before all others. An empty table
     gives an empty result. Other columns are ignored.
     """
     if not 2 <= length <= 200:
         raise ValueError("length must be from 2 to 200")
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
+    base = docs.select(known_id(id_col).alias("doc_id"), text_of(text_col).cast("binary").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     chunks = max(1, math.ceil(total / min(CHUNK_BYTES, max(LEAST_CHUNK_BYTES, total / (4 * parts)))))
@@ -452,4 +452,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     known = prints.groupBy("bucket").applyInArrow(_repeated, "chunk long, bucket long, payload binary")
     runs = chunked.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_runs(length, buckets), "bucket long, chunk long, kind int, payload binary")
     spans = runs.groupBy("bucket").applyInArrow(_merged(length), "chunk long, payload binary")
-    return chunked.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cut(length), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    out = chunked.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cut(length), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
+    return out.select(id_again("doc_id"), "n_bytes", "removed", "kept")

@@ -44,12 +44,13 @@ def normalise(text: str | None) -> bytes:
 
 def _pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The code of the MIN_MATCH bytes from every position of the joined texts on, and the text of the position; -1 where a text ends before."""
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8).astype(np.int64)
-    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
     n = max(0, len(data) - MIN_MATCH + 1)
     code = np.zeros(n, dtype=np.int64)
     for j in range(MIN_MATCH):
-        code = code << 8 | data[j : j + n]
+        code <<= 8
+        code |= data[j : j + n]
     code[doc[:n] != doc[len(doc) - n :]] = -1
     return code, doc[:n]
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import components, cut, forest
+from tidewatch.llm.common import components, cut, forest, id_again, known_id
 
 THRESHOLD = 0.9
 #: Share of neighbours at the threshold that a vector's own traversal has to reach; the neighbour's traversal is a second chance.
@@ -183,17 +183,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     included), kept. All links returned are real; those between vectors far from each other's cells can be missed (see
     TARGET_RECALL). Equal vectors are one entry of the index, with their number. Vectors that are null, empty, all zero
     or hold null or non-finite components link with nothing, and neither do vectors of different length. Rows that repeat
-    an id are vectors of their own. An empty table gives an empty result. Other columns are ignored.
+    an id are vectors of their own; a null id is the smallest. An empty table gives an empty result. Other columns are ignored.
     """
     vector = F.col(vector_col).cast("array<double>")
-    rows = cut(vectors.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("vector")), "vectors")
+    rows = cut(vectors.select(known_id(id_col).alias("vec_id"), vector.alias("vector")), "vectors")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0)).withColumn("key", F.xxhash64("vector"))
     distinct = cut(good.groupBy("key", "vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "distinct-vectors")
     n, width = distinct.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     none = F.lit(0).cast("long")
     if not n:
-        return rows.select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select(id_again("vec_id"), none.alias("n_links"), id_again("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     width += width % 2
     sample = distinct.select("key", "vector").orderBy("key", "vector").limit(SAMPLE).toArrow()
     index = MultiIndex.fit(_unit(_matrix(sample.column("vector"), width)), n, threshold)
@@ -218,4 +218,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     keyed = good.join(classes, ["key", "vector"], "left").select("vec_id", "n_links", "component_id")
     bad = rows.where(~F.coalesce(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0), F.lit(False)))
     alone = bad.select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"))
-    return keyed.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = keyed.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.select(id_again("vec_id"), "n_links", id_again("component_id"), "kept")
