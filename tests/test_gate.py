@@ -141,6 +141,17 @@ def test_equals_a_sequential_machine(spark, chunk, window):
         assert any(rule == r or rule in a for r, a in want)
 
 
+def test_malformed_rows_do_not_meet_in_one_task(spark):
+    rows = spark.range(4000).selectExpr("id AS seq", "id % 2 = 0 AS malformed", *[f"IF(id % 2 = 0, NULL, {v}) AS {n}" for n, v in zip(NAMES, ("'coinbase'", "'BTC-USD'", "cast(id AS string)", "64000D", "1D", "'buy'", f"{T0} + id", f"{T0} + id"), strict=True)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = gate.evaluate(rows)
+        counts = out.where("rule_id = 'R1'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in counts) == 2000 and max(r["count"] for r in counts) < 1000 and out.where("rule_id IS NULL").count() == 2000
+
+
 def test_empty_and_extra_columns(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert gate.evaluate(none).count() == 0 and gate.telemetry(gate.evaluate(none)).first()["n_valid"] == 0

@@ -20,6 +20,8 @@ from tidewatch.operators.dedup import mark_duplicates
 from tidewatch.operators.windows import running
 
 KEYS = ("exchange", "symbol")
+#: Streams that failed rows are dealt to.
+SPREAD = 4096
 ALERTS = "array<struct<rule_id:string,reason:string,stream:string,detail:string,at_event_ms:bigint>>"
 
 
@@ -50,7 +52,7 @@ def gap(rules: Rules) -> Column:
     return F.coalesce(F.col("ts_event") - F.col("watermark") > rules.gap_ms, F.lit(False))
 
 
-def last_prints(accepted: DataFrame, rules: Rules, chunk: int | None = None) -> DataFrame:
+def last_prints(accepted: DataFrame, rules: Rules, chunk: int | None = None, symbol: str = "symbol") -> DataFrame:
     """Add price_0, ts_0, fresh_0 and the same with 1: each venue's last print of the symbol, in order of arrival, and whether it counts.
 
     A print counts while the row's event time is at most the staleness bound after it. With a column ``accepted`` rows
@@ -58,7 +60,7 @@ def last_prints(accepted: DataFrame, rules: Rules, chunk: int | None = None) ->
     """
     counts = F.col("accepted") if "accepted" in accepted.columns else F.lit(True)
     outputs = {f"print_{k}": ("last", F.when(counts & (F.col("exchange") == venue), F.struct("price", "ts_event"))) for k, venue in enumerate(rules.venues)}
-    out = running(accepted, ["symbol"], "seq", outputs, chunk=chunk)
+    out = running(accepted, [symbol], "seq", outputs, chunk=chunk)
     for k in (0, 1):
         p = F.col(f"print_{k}")
         fresh = p.isNotNull() & (F.col("ts_event") - p["ts_event"] <= rules.staleness_ms)
@@ -66,13 +68,13 @@ def last_prints(accepted: DataFrame, rules: Rules, chunk: int | None = None) ->
     return out
 
 
-def divergence(accepted: DataFrame, rules: Rules, chunk: int | None = None) -> DataFrame:
+def divergence(accepted: DataFrame, rules: Rules, chunk: int | None = None, symbol: str = "symbol") -> DataFrame:
     """Add the fresh_ columns, deviation_pct, over, episode, sustained and ``diverged`` (the R6 alert).
 
     An episode of a symbol begins after each comparable row within the limit. Rows that can't be compared leave it as it
     is. Its first row beyond the limit starts the clock; the first later one at which enough event time has gone by alerts.
     """
-    prints = last_prints(accepted, rules, chunk)
+    prints = last_prints(accepted, rules, chunk, symbol)
     both = F.col("fresh_0") & F.col("fresh_1")
     if "accepted" in prints.columns:
         both = both & F.col("accepted")
@@ -81,8 +83,8 @@ def divergence(accepted: DataFrame, rules: Rules, chunk: int | None = None) -> D
     over = F.coalesce((F.col("deviation_pct") > rules.deviation_pct) & ~F.isnan("deviation_pct"), F.lit(False))
     prints = prints.withColumn("over", over)
     calm = (both & ~F.col("over")).cast("long")
-    out = running(prints, ["symbol"], "seq", {"episode": ("sum", calm)}, chunk=chunk)
-    of_episode = Window.partitionBy("symbol", "episode", "over").orderBy("seq")
+    out = running(prints, [symbol], "seq", {"episode": ("sum", calm)}, chunk=chunk)
+    of_episode = Window.partitionBy(symbol, "episode", "over").orderBy("seq")
     out = out.withColumn("_since", F.first("ts_event").over(of_episode)).withColumn("_nth", F.row_number().over(of_episode))
     out = out.withColumn("sustained", F.when(F.col("over") & (F.col("_nth") > 1), F.col("ts_event") - F.col("_since")))
     enough = F.coalesce(F.col("sustained") >= rules.sustained_ms, F.lit(False))
@@ -102,16 +104,21 @@ def evaluate(trades: DataFrame, rules: Rules | None = None, keys: Sequence[str]
     why = F.col("decode_error") if "decode_error" in trades.columns else F.lit("frame does not decode")
     early = F.when(malformed, F.lit("R1")).when(range_failure(rules).isNotNull(), F.lit("R2"))
     staged = trades.select("seq", *extra, *NAMES, early.alias("_early"), F.when(malformed, why).otherwise(range_failure(rules)).alias("_wrong"), early.isNull().alias("_passed"))
-    # One line of windows over all rows; rows that have failed stay in place and count for nothing.
+    # One line of windows over all rows. Rows that have failed count for nothing: they are spread over streams of their
+    # own, since malformed ones have no key and could all meet in one task.
+    spread = F.concat(F.lit("failed "), F.pmod(F.xxhash64("seq"), F.lit(SPREAD)).cast("string"))
+    lines = {k: f"_line_{k}" for k in dict.fromkeys([*keys, "symbol"])}
+    staged = staged.withColumns({line: F.when(F.col("_passed"), F.col(k)).otherwise(spread) for k, line in lines.items()})
+    keys, names, symbol = [lines[k] for k in keys], keys, lines["symbol"]
     rows = mark_duplicates(staged, keys, rules.dedup_window, among="_passed", out="_again")
-    if divergences and chunk is None and "symbol" in keys:
-        rows = rows.repartition("symbol")  # serves the windows of the streams and of the symbols alike
+    if divergences and chunk is None and symbol in keys:
+        rows = rows.repartition(symbol)  # serves the windows of the streams and of the symbols alike
     # R4 only fails rows below the watermark, so it is the running maximum of all that R1 to R3 let pass.
     kept = F.col("_passed") & ~F.col("_again")
     rows = running(rows, keys, "seq", {"watermark": ("max", F.when(kept, F.col("ts_event")))}, inclusive=False, chunk=chunk)
     rows = rows.withColumn("_late", kept & late(rules)).withColumn("accepted", kept & ~F.col("_late")).withColumn("_gap", F.col("accepted") & gap(rules))
     if divergences:
-        rows = divergence(rows, rules, chunk)
+        rows = divergence(rows, rules, chunk, symbol)
     else:
         rows = rows.withColumns({"fresh_0": F.lit(True), "fresh_1": F.lit(True), "diverged": F.lit(False), "deviation_pct": F.lit(None).cast("double"), "sustained": F.lit(None).cast("long")})
 
@@ -130,7 +137,7 @@ def evaluate(trades: DataFrame, rules: Rules | None = None, keys: Sequence[str]
     jump = F.format_string("watermark jumped %d ms", F.col("ts_event") - F.col("watermark"))
     apart = F.format_string("venues %.4f%% apart for %d ms", F.col("deviation_pct"), F.col("sustained"))
     none = F.array().cast(ALERTS)
-    alerts = F.array_compact(F.array(F.when(F.col("_gap"), alert("R5", stream_name(*keys), jump)), F.when(F.col("diverged"), alert("R6", F.col("symbol"), apart)))).cast(ALERTS)
+    alerts = F.array_compact(F.array(F.when(F.col("_gap"), alert("R5", stream_name(*names), jump)), F.when(F.col("diverged"), alert("R6", F.col("symbol"), apart)))).cast(ALERTS)
     stale = F.array_compact(F.array(*[F.when(F.col("accepted") & ~F.col(f"fresh_{k}"), F.lit(venue)) for k, venue in enumerate(rules.venues)]))
     out = rows.withColumn("rule_id", rule)
     return out.select(

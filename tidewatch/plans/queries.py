@@ -11,7 +11,8 @@ from tidewatch.functions import codec, scalars
 from tidewatch.operators import bars, dedup, faultlab, gate, grade, profile, slo
 from tidewatch.operators.windows import running
 from tidewatch.plans.trades import RULES, SQL, lineitem_trades, manifest, sql_bars, trades
-from tidewatch.sources import feeds
+from tidewatch.sources import feeds, files
+from tidewatch.streaming import gate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +120,12 @@ def codec_round_trip(spark, d):
     return codec.decode_frames(frames).drop("value", "decode_error")
 
 
+@query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'n/a (n=0)' ELSE printf('%.4f [%.4f, %.4f]', value / 7, value / 9, value / 11) END AS shown FROM events")
+def estimate_format(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    return e.select("event_id", scalars.format_estimate(F.col("value") / 7, F.col("value") / 9, F.col("value") / 11, F.col("event_id") % 5).alias("shown"))
+
+
 # Rules
 
 
@@ -237,6 +244,18 @@ def quarantine_stats(spark, d):
     return gate.quarantine_stats(_verdicts(spark, d).where("disposition = 'quarantine'"))
 
 
+@query(SQL + "SELECT disposition, rule_id, count(*) AS n FROM verdicts GROUP BY ALL")
+def stream_route_counts(spark, d):
+    """The trades as frames in several files, through the streaming gate with its state, to the folders it writes."""
+    folder = files.scratch(spark, "stream")
+    frames = codec.encode_frames(trades(spark, d)).select(F.lit(None).cast("binary").alias("key"), "value", F.lit(0).alias("partition"), F.col("seq").alias("offset"))
+    frames.repartitionByRange(3, "offset").write.parquet(f"{folder}/frames")
+    arriving = spark.readStream.schema(frames.schema).parquet(f"{folder}/frames")
+    gate_stream.start(arriving, f"{folder}/out", f"{folder}/checkpoint", RULES).awaitTermination()
+    found = spark.read.parquet(f"{folder}/out/telemetry")
+    return found.groupBy("disposition", "rule_id").agg(F.sum("count").alias("n"))
+
+
 # Bars and objectives
 
 _OFF = "(SELECT *, disposition = 'quarantine' AS rejected FROM verdicts)"
