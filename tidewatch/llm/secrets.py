@@ -111,6 +111,8 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule]
     tagged = F.transform("found", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), kind.alias("kind")))
     # a pair can be twice in the ledger after a retried append
     per_blob = current.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(tagged)))).alias("found"))
+    # With a plain table on this side the paths of a blob that very many share can be split over tasks.
+    per_blob = cut(per_blob, "findings")
     paths = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text_of(text_col).cast("binary"), 256).alias("blob"))
     shape = "array<struct<kind:string,start:int,end:int>>"
     out = paths.join(per_blob, "blob", "left")
