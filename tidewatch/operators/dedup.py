@@ -9,8 +9,11 @@ N ids as its only state.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,26 +27,40 @@ def mark_first_seen(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_i
     return rows.withColumn(out, F.col(among) & (F.row_number().over(w) > 1))
 
 
+def _stretches(columns: list[pa.Array], n: int) -> list[tuple[int, int]]:
+    """Row ranges within which no key changes."""
+    changed = np.zeros(max(0, n - 1), dtype=bool)
+    for c in columns:
+        changed |= pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), n]
+    return list(pairwise(cuts))
+
+
 def _replay(keys: list[int], id_at: int, among: int | None, window: int, out: str):
     def run(batches):
         stream, inserted, count = None, {}, 0
         for batch in batches:
-            names = zip(*[batch.column(k).to_pylist() for k in keys], strict=True)
-            counts = batch.column(among).to_pylist() if among is not None else [True] * batch.num_rows
-            flags = []
-            for name, trade, in_question in zip(names, batch.column(id_at).to_pylist(), counts, strict=True):
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(k) for k in keys]
+            ids = batch.column(id_at).to_pylist()
+            counts = batch.column(among).to_pylist() if among is not None else [True] * n
+            flags = [False] * n
+            for start, end in _stretches(columns, n):
+                name = tuple(c[start].as_py() for c in columns)
                 if name != stream:
                     stream, inserted, count = name, {}, 0
-                if not in_question:
-                    flags.append(False)
-                    continue
-                at = inserted.get(trade)
-                if at is not None and count - at < window:
-                    flags.append(True)
-                    continue
-                flags.append(False)
-                count += 1
-                inserted[trade] = count
+                for i in range(start, end):
+                    if not counts[i]:
+                        continue
+                    trade = ids[i]
+                    at = inserted.get(trade)
+                    if at is not None and count - at < window:
+                        flags[i] = True
+                        continue
+                    count += 1
+                    inserted[trade] = count
                 if len(inserted) > 2 * window + 1024:
                     inserted = {t: a for t, a in inserted.items() if count - a < window}
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flags, pa.bool_())], names=[*batch.schema.names, out])
@@ -52,7 +69,7 @@ def _replay(keys: list[int], id_at: int, among: int | None, window: int, out: st
 
 
 def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
-    """The general form: one pass over each stream in order, batch by batch, holding about 2 N ids."""
+    """The general form: one pass over each stream in order, batch by batch, holding at most two windows of ids and those of a batch."""
     cols = rows.columns
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.BooleanType())])
     lined = rows.repartition(*keys).sortWithinPartitions(*keys, order)
