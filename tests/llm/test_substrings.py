@@ -48,12 +48,12 @@ def corpus(seed, length):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "length", "chunk"), [(1, 20, 300), (2, 20, 10**6), (3, 100, 2000), (4, 7, 500)])
-def test_equals_brute_force(spark, monkeypatch, seed, length, chunk):
+@pytest.mark.parametrize(("seed", "length", "chunk", "hot"), [(1, 20, 300, 2048), (2, 20, 10**6, 2048), (3, 100, 2000, 4), (4, 7, 500, 2048), (5, 20, 300, 3), (6, 30, 900, 1)])
+def test_equals_brute_force(spark, monkeypatch, seed, length, chunk, hot):
     monkeypatch.setattr(substrings, "CHUNK_BYTES", chunk)
     monkeypatch.setattr(substrings, "LEAST_CHUNK_BYTES", chunk)
     rows = corpus(seed, length)
-    assert result(substrings.remove_repeats(spark.createDataFrame(rows, SCHEMA), length)) == brute(rows, length)
+    assert result(substrings.remove_repeats(spark.createDataFrame(rows, SCHEMA), length, hot)) == brute(rows, length)
 
 
 def test_anchors_do_not_depend_on_blocks_or_place(monkeypatch):

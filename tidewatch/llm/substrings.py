@@ -28,6 +28,10 @@ LENGTH = 100
 CHUNK_BYTES, LEAST_CHUNK_BYTES = 4 << 20, 256 << 10
 #: Window starts that are hashed in one go.
 BLOCK = 1 << 19
+#: Occurrences of an anchor from which on it is hot: at the border of a passage that very many documents share, its
+#: surroundings differ everywhere. The windows of a hot anchor go by their own fingerprints, so that they spread, and
+#: equal ones are one in every chunk.
+HOT = 2048
 
 _rng = np.random.default_rng(7)
 _BYTE_HASH = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -117,14 +121,18 @@ class Chunk:
         self.print = h >> np.uint64(24)  # 40 bits, within a bucket
 
 
-def _joined(prints: np.ndarray) -> bytes:
-    return prints.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def _joined(prints: np.ndarray, counts: np.ndarray) -> bytes:
+    """Fingerprints of 5 bytes, each with a count of one byte that stops at 255."""
+    out = prints.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].copy()
+    out[:, 5] = np.minimum(counts, 255)
+    return out.tobytes()
 
 
-def _split(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // 5, 8), dtype=np.uint8)
-    out[:, :5] = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
+def _split(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(blob, dtype=np.uint8).reshape(-1, 6)
+    out = np.zeros((len(rows), 8), dtype=np.uint8)
+    out[:, :5] = rows[:, :5]
+    return out.view("<u8").ravel(), rows[:, 5].astype(np.int64)
 
 
 def _table(**cols) -> pa.Table:
@@ -141,25 +149,34 @@ def _fingerprints(length: int, buckets: int):
         both = np.sort(chunk.bucket.astype(np.uint64) << np.uint64(40) | chunk.print)
         first = np.ones(len(both), dtype=bool)
         first[1:] = both[1:] != both[:-1]
+        counts = np.diff(np.append(np.flatnonzero(first), len(both)))
         both = both[first]
         b = (both >> np.uint64(40)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(b, prepend=-1))
         mask = np.uint64((1 << 40) - 1)
-        payloads = [_joined(part & mask) for part in np.split(both, cuts[1:])] if len(both) else []
-        return _table(bucket=b[cuts], chunk=np.full(len(cuts), key[0].as_py(), dtype=np.int64), payload=payloads)
+        parts = zip(np.split(both, cuts[1:]), np.split(counts, cuts[1:]), strict=True) if len(both) else ()
+        return _table(bucket=b[cuts], chunk=np.full(len(cuts), key[0].as_py(), dtype=np.int64), payload=[_joined(p & mask, n) for p, n in parts])
 
     return run
 
 
-def _repeated(key, table):
-    """bucket -> (chunk, bucket, payload): for every chunk, which of its fingerprints other chunks have too."""
-    chunks = table.column("chunk").to_numpy()
-    parts = [_split(p) for p in table.column("payload").to_pylist()]
-    every = np.sort(np.concatenate(parts))
-    again = every[1:][every[1:] == every[:-1]]
-    out = [(c, p[np.isin(p, again, kind="sort")]) for c, p in zip(chunks, parts, strict=True)]
-    out = [(c, p) for c, p in out if len(p)]
-    return _table(chunk=[c for c, _ in out], bucket=[key[0].as_py()] * len(out), payload=[_joined(p) for _, p in out])
+def _repeated(hot_from: int):
+    """bucket -> (chunk, bucket, payload): for every chunk, which of its fingerprints occur twice anywhere; a count of 1 marks hot ones."""
+
+    def run(key, table):
+        chunks = table.column("chunk").to_numpy()
+        parts, counts = zip(*[_split(p) for p in table.column("payload").to_pylist()], strict=True)
+        every, n = np.concatenate(parts), np.concatenate(counts)
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.diff(every[order], prepend=np.uint64((1 << 64) - 1)))
+        total = np.add.reduceat(n[order], first)
+        distinct = every[order][first]
+        again, hot = distinct[total > 1], distinct[total >= hot_from]
+        out = [(c, p[np.isin(p, again, kind="sort")]) for c, p in zip(chunks, parts, strict=True)]
+        out = [(c, p) for c, p in out if len(p)]
+        return _table(chunk=[c for c, _ in out], bucket=[key[0].as_py()] * len(out), payload=[_joined(p, np.isin(p, hot, kind="sort").astype(np.int64)) for _, p in out])
+
+    return run
 
 
 _HEAD = np.dtype([("id", "<i8"), ("sub", "<i4"), ("doc", "<i4"), ("at", "<i8"), ("near", "u1"), ("far", "u1"), ("same", "u1")])
@@ -192,38 +209,57 @@ def _runs(length: int, buckets: int):
         c = Chunk(docs, length, buckets)
         c.find()
         mine = c.bucket.astype(np.uint64) << np.uint64(40) | c.print
-        order = np.argsort(mine, kind="stable")
-        s = mine[order]
-        twice = np.zeros(len(s), dtype=bool)
-        twice[1:] = s[1:] == s[:-1]
-        twice[:-1] |= twice[1:]
-        wanted = [np.uint64(b) << np.uint64(40) | _split(p) for b, p in zip(known.column("bucket").to_pylist(), known.column("payload").to_pylist(), strict=True)]
-        keep = np.zeros(len(mine), dtype=bool)
-        keep[order[twice]] = True
-        if wanted:
-            keep |= np.isin(mine, np.concatenate(wanted), kind="sort")
-        at, lo, hi, doc, bucket = (x[keep] for x in (c.at, c.lo, c.hi, c.doc, c.bucket))
-        if not len(at):
+        wanted, hot = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        for b, p in zip(known.column("bucket").to_pylist(), known.column("payload").to_pylist(), strict=True):
+            prints, marks = _split(p)
+            wanted = np.append(wanted, np.uint64(b) << np.uint64(40) | prints)
+            hot = np.append(hot, np.uint64(b) << np.uint64(40) | prints[marks > 0])
+        keep = np.isin(mine, wanted, kind="sort")
+        if not keep.any():
             return _table(**rows)
-        near, far = at - hi, at - lo  # a window begins near .. far bytes before the anchor
-        right = _rows(c.data, at, length - near, length, False)
-        left = _rows(c.data, at, far, length - length // 2, True)
-        whole = np.concatenate([right, left, np.stack([near, far], axis=1).astype(np.uint8)], axis=1)
-        # by bucket, then suffix; equal ones in the order of documents
-        order = np.argsort(np.ascontiguousarray(whole).view(f"S{whole.shape[1]}").ravel(), kind="stable")
-        order = order[np.argsort(bucket[order], kind="stable")]
-        whole, bucket = whole[order], bucket[order]
-        same = np.zeros(len(order), dtype=bool)
-        same[1:] = (bucket[1:] == bucket[:-1]) & (whole[1:] == whole[:-1]).all(axis=1)
-        # a later copy with all its windows: settled, never sent
-        copies = order[same]
-        order, whole, bucket = order[~same], whole[~same], bucket[~same]
-        if len(copies):
-            start = c.starts[doc[copies]]
-            spans = np.stack([doc[copies], lo[copies] - start, hi[copies] + length - start]).astype("<i8")
+        at, lo, hi, doc, bucket = (x[keep] for x in (c.at, c.lo, c.hi, c.doc, c.bucket))
+        is_hot = np.isin(mine[keep], hot, kind="sort")
+        settled = []
+
+        def sorted_once(at, lo, hi, doc, bucket):
+            """The entries by bucket and suffix, without later copies that have all their windows: these are settled, never sent."""
+            near, far = at - hi, at - lo  # a window begins near .. far bytes before the anchor
+            right = _rows(c.data, at, length - near, length, False)
+            left = _rows(c.data, at, far, length - length // 2, True)
+            whole = np.concatenate([right, left, np.stack([near, far], axis=1).astype(np.uint8)], axis=1)
+            # equal ones stay in the order of documents
+            order = np.argsort(np.ascontiguousarray(whole).view(f"S{whole.shape[1]}").ravel(), kind="stable")
+            order = order[np.argsort(bucket[order], kind="stable")]
+            whole = whole[order]
+            same = np.zeros(len(order), dtype=bool)
+            same[1:] = (bucket[order[1:]] == bucket[order[:-1]]) & (whole[1:] == whole[:-1]).all(axis=1)
+            copies = order[same]
+            if len(copies):
+                start = c.starts[doc[copies]]
+                settled.append(np.stack([doc[copies], lo[copies] - start, hi[copies] + length - start]))
+            return [x[order[~same]] for x in (at, lo, hi, doc, bucket)], whole[~same]
+
+        if is_hot.any():
+            # one entry for each different surrounding of a hot anchor, then one for each different window
+            (a, l, h, d, _), _ = sorted_once(*(x[is_hot] for x in (at, lo, hi, doc, bucket)))
+            times = h - l + 1
+            window = np.repeat(l, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            order = np.argsort(window)
+            anchor, owner, window = np.repeat(a, times)[order], np.repeat(d, times)[order], window[order]
+            own = np.zeros(len(window), dtype=np.uint64)
+            for j in range(length):
+                own = own * _FACTORS[0] + _BYTE_HASH[c.data[window + j]]
+            spread = ((_mix(own) & np.uint64(0xFFFFFF)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
+            mixed = [(at, anchor), (lo, window), (hi, window), (doc, owner), (bucket, spread)]
+            at, lo, hi, doc, bucket = (np.concatenate([x[~is_hot], y]) for x, y in mixed)
+            order = np.lexsort((lo, at))
+            at, lo, hi, doc, bucket = (x[order] for x in (at, lo, hi, doc, bucket))
+        (at, lo, hi, doc, bucket), whole = sorted_once(at, lo, hi, doc, bucket)
+        near, far, order = at - hi, at - lo, np.arange(len(at))
+        if settled:
             rows["bucket"].append(int(bucket[0]))
             rows["kind"].append(1)
-            rows["payload"].append(zstandard.ZstdCompressor(level=1).compress(spans.tobytes()))
+            rows["payload"].append(zstandard.ZstdCompressor(level=1).compress(np.concatenate(settled, axis=1).astype("<i8").tobytes()))
         sub = np.arange(len(c.ids)) - np.searchsorted(c.ids, c.ids)  # numbers rows that repeat an id
         common = _common(whole[:, :length])
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -233,7 +269,7 @@ def _runs(length: int, buckets: int):
             head = np.zeros(len(i), dtype=_HEAD)
             common_b = np.minimum(common[part], length - near[i])
             head["id"], head["sub"], head["doc"], head["at"] = c.ids[doc[i]], sub[doc[i]], doc[i], at[i] - c.starts[doc[i]]
-            head["near"], head["far"], head["same"] = near[i], far[i], common_b
+            head["near"], head["far"], head["same"] = near[i], far[i], common[part]
             w, j, k = whole[part], np.arange(length), np.arange(length - length // 2)
             tails = w[:, :length][(j >= common_b[:, None]) & (j < (length - near[i])[:, None])]
             lefts = w[:, length:-2][k < far[i][:, None]]
@@ -258,10 +294,11 @@ def _unpacked(payload: bytes, length: int) -> tuple[np.ndarray, list[bytes], np.
         p += n * _HEAD[f].itemsize
     suffixes, before = [], b""
     for same, size in zip(head["same"].tolist(), (length - head["near"].astype(np.int64)).tolist(), strict=True):
-        tail = size - same
-        before = before[:same] + raw[p : p + tail]
+        # a prefix in common can reach into the zeros that fill up the shorter one
+        tail = max(0, size - same)
+        before = (before[: size - tail] + raw[p : p + tail]).ljust(length, b"\x00")
         p += tail
-        suffixes.append(before.ljust(length, b"\x00"))
+        suffixes.append(before)
     width = length - length // 2
     left = np.zeros((n, width), dtype=np.uint8)
     left[np.arange(width) < head["far"][:, None]] = np.frombuffer(raw, np.uint8, offset=p)
@@ -432,7 +469,7 @@ def _cut(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """What exact substring deduplication leaves of every row of ``docs``.
 
     Returns doc_id, n_bytes, removed (array of start, end in bytes: the maximal runs) and kept (the other bytes). A string
@@ -449,7 +486,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     buckets = max(1, min(chunks, 1 << 20) // 2)
     chunked = base.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     prints = chunked.groupBy("chunk").applyInArrow(_fingerprints(length, buckets), "bucket long, chunk long, payload binary")
-    known = prints.groupBy("bucket").applyInArrow(_repeated, "chunk long, bucket long, payload binary")
+    known = prints.groupBy("bucket").applyInArrow(_repeated(hot), "chunk long, bucket long, payload binary")
     runs = chunked.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_runs(length, buckets), "bucket long, chunk long, kind int, payload binary")
     spans = runs.groupBy("bucket").applyInArrow(_merged(length), "chunk long, payload binary")
     out = chunked.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cut(length), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
