@@ -121,3 +121,31 @@ def test_components_on_a_long_chain(spark):
     rng.shuffle(links)
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
     assert got == {i: min(ids) for i in ids if i != min(ids)}
+
+
+def test_similar_documents(spark):
+    rng = random.Random(6)
+    vocab = [f"w{k}" for k in range(3000)]
+    texts, group = [], []
+    for g in range(150):
+        words = [rng.choice(vocab) for _ in range(300)]
+        for edits in (0, 0, 3, 6):
+            copy = list(words)
+            for at in rng.sample(range(300), edits):
+                copy[at] = rng.choice(vocab)
+            texts.append(" ".join(copy))
+            group.append(g)
+        half = words[:150] + [rng.choice(vocab) for _ in range(150)]
+        texts.append(" ".join(half))  # a third in common: no copy
+        group.append(1000 + g)
+    texts += [None, "", "short", "short"]
+    group += [5000, 5000, 5001, 5001]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    for block in (4096, 20):
+        out = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs, block=block).collect()}
+        first = {}
+        for i, g in enumerate(group):
+            first.setdefault(g, i)
+        wrong = sum(out[i] != first[g] for i, g in enumerate(group))
+        assert wrong <= 5, wrong
+    assert simhash.keep_one(docs, by=simhash.similar).count() <= 305 and simhash.similar(docs.limit(0)).count() == 0

@@ -24,27 +24,39 @@ SEED = 42
 BLOCK = 4096
 #: Planes after which words whose 64 pairs are all beyond the radius are left out.
 CHECK_PLANES = (8, 16, 24, 40)
+#: Similar documents: words of a shingle, 64-bit parts of the fingerprint, bits of a key and number of keys, and how many
+#: bits of the first part and of all parts may differ. Two sets of shingles of similarity 0.8 differ in 15 % of the bits.
+SIMILAR_WORDS, PARTS, KEY_BITS, KEYS = 5, 4, 16, 56
+FIRST_RADIUS, ALL_RADIUS = 18, 54
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """The 64-bit SimHash of a text; 0 if it has no words."""
+def fingerprint_parts(text: str | None, words: int, seed: int, parts: int) -> list[int]:
+    """The SimHash of a text in parts of 64 bits; 0 if it has no words. Further parts come from mixing the shingles' hashes."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
-    if len(tokens) <= words:
-        return xxhash.xxh64_intdigest(b" ".join(tokens), seed)
+        return [0] * parts
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1) - 1
-    starts = np.concatenate([[0], ends[: -words] + 1]).tolist()
-    ends = ends[words - 1 :].tolist()
+    span = min(words, len(tokens))
+    starts = np.concatenate([[0], ends[: len(ends) - span] + 1]).tolist()
+    ends = ends[span - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     n = len(ends)
-    ones = np.zeros(64, dtype=np.int64)
+    ones = np.zeros((parts, 64), dtype=np.int64)
     for s in range(0, n, 16_384):
         hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[s : s + 16_384], ends[s : s + 16_384], strict=True)], dtype=np.uint64)
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+        for k in range(parts):
+            if k:
+                hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+                hashes ^= hashes >> np.uint64(29)
+            bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[k] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<u8").ravel().tolist()
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """The 64-bit SimHash of a text; 0 if it has no words."""
+    return fingerprint_parts(text, words, seed, 1)[0]
 
 
 def _fingerprints(words: int, seed: int):
@@ -132,8 +144,11 @@ def _mask(flags: np.ndarray, words: int) -> np.ndarray:
     return packed.view("<u8")
 
 
-def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) over all pairs of rows of one bucket whose fingerprints lie within the radius; rows come sorted by bucket."""
+def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int = RADIUS, parts: np.ndarray | None = None, all_radius: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) over all pairs of rows of one bucket whose fingerprints lie within the radius; rows come sorted by bucket.
+
+    With ``parts``, all parts of the fingerprints as columns, a pair also has to be within ``all_radius`` over all of them.
+    """
     left, right = np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
     size = np.diff(np.concatenate([first, [len(bucket)]]))
@@ -149,10 +164,13 @@ def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius:
             # only buckets that still have pairs at this shift stay
             keep = np.repeat(size > shift, size)
             fp, node, after, size = fp[keep], node[keep], after[keep], size[size > shift]
+            parts = None if parts is None else parts[keep]
             active, rows = after >= shift, int(keep.sum())
             planes = to_planes(fp)
         near = within_radius(planes, _mask(active, planes.shape[1] - 1), shift, radius)
         i = np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little")[: len(fp)])
+        if parts is not None and len(i):
+            i = i[np.bitwise_count(parts[i] ^ parts[i + shift]).sum(axis=1, dtype=np.int64) <= all_radius]
         if len(i):
             left, right = np.concatenate([left, node[i]]), np.concatenate([right, node[i + shift]])
             if len(left) > 500_000:
@@ -161,14 +179,15 @@ def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius:
     return forest(left, right)
 
 
-def _links(radius: int):
+def _links(radius: int, all_radius: int = 0):
     def run(batches):
         rest = None
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
 
         def linked(cols):
             nonlocal a, b
-            x, y = bucket_forest(cols[0], cols[1].view(np.uint64), cols[2], radius)
+            parts = np.stack([c.view(np.uint64) for c in [cols[1], *cols[3:]]], axis=1) if len(cols) > 3 else None
+            x, y = bucket_forest(cols[0], cols[1].view(np.uint64), cols[2], radius, parts, all_radius)
             a, b = forest(np.concatenate([a, x]), np.concatenate([b, y]))
 
         for batch in batches:
@@ -205,20 +224,65 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS, block: int = BLOC
     for k, (x, y) in enumerate(combinations(_bands(radius), 2)):
         parts = [F.shiftrightunsigned("fp", first).bitwiseAND((1 << width) - 1) for first, width in (x, y)]
         keys.append(F.shiftleft(parts[0], y[1]).bitwiseOR(parts[1]).bitwiseOR(F.lit(k << (x[1] + y[1] + 1))))
-    banded = prints.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
+    return _linked(prints.select("node", "fp", F.explode(F.array(*keys)).alias("key")), radius, 0, block)
+
+
+def _linked(banded: DataFrame, radius: int, all_radius: int, block: int) -> DataFrame:
+    """Links between rows (node, fp, key and further parts) with the same key; large keys are split into pairs of blocks."""
+    cols = ["fp", "node", *[c for c in banded.columns if c not in ("fp", "node", "key")]]
     sizes = cut(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "hot-buckets")
     n_hot = sizes.count()
     if n_hot:
-        hot = sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+        hot = sizes.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
         banded = banded.join(small(hot, n_hot), "key", "left")
-        mine = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("parts")).cast("int")
-        others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.least(mine, o) * F.col("parts") + F.greatest(mine, o))
-        banded = banded.select("node", "fp", "key", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(others)).alias("cell"))
-        banded = banded.select(F.xxhash64("key", "cell").alias("bucket"), "fp", "node")
+        mine = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("blocks")).cast("int")
+        others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least(mine, o) * F.col("blocks") + F.greatest(mine, o))
+        banded = banded.select(*cols, "key", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)).alias("cell"))
     else:
-        banded = banded.select(F.xxhash64("key", F.lit(0)).alias("bucket"), "fp", "node")
-    met = banded.repartition("bucket").sortWithinPartitions("bucket")
-    return met.mapInArrow(_links(radius), "node long, root long")
+        banded = banded.withColumn("cell", F.lit(0))
+    met = banded.select(F.xxhash64("key", "cell").alias("bucket"), *cols).repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(_links(radius, all_radius), "node long, root long")
+
+
+_PARTS = [f"fp{k}" for k in range(PARTS)]
+
+
+def _wide(words: int, seed: int):
+    def run(batches):
+        for batch in batches:
+            found = np.array([fingerprint_parts(x.as_py(), words, seed, PARTS) for x in batch.column(2)], dtype=np.uint64).reshape(-1, PARTS).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c) for c in found.T.copy()]], names=["doc_id", "text_key", *_PARTS])
+
+    return run
+
+
+def _keys(batches):
+    """(node, fp parts) -> a row for each key: fixed random selections of the fingerprint's bits."""
+    chosen = np.random.default_rng(SEED).permuted(np.tile(np.arange(64 * PARTS), (KEYS, 1)), axis=1)[:, :KEY_BITS]
+    for batch in batches:
+        for s in range(0, batch.num_rows, 2000):
+            part = batch.slice(s, 2000)
+            words = np.stack([part.column(1 + k).to_numpy() for k in range(PARTS)], axis=1).view(np.uint64)
+            bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
+            key = (bits[:, chosen].astype(np.int64) << np.arange(KEY_BITS)).sum(axis=2) + (np.arange(KEYS, dtype=np.int64) << KEY_BITS)
+            at = pa.array(np.repeat(np.arange(len(words)), KEYS))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), pa.array(key.ravel()), *[part.column(1 + k).take(at) for k in range(PARTS)]], names=["node", "key", "fp", *_PARTS[1:]])
+
+
+def similar(docs: DataFrame, words: int = SIMILAR_WORDS, seed: int = SEED, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, component_id) of every row, NO_ID for null: classes of documents whose shingles are about 0.8 similar or more.
+
+    Fingerprints of 64 * PARTS bits meet under KEYS selections of KEY_BITS bits; a pair of similarity 0.8 shares one of
+    them with 98 %, a closer one almost surely. Pairs that meet are compared in bit planes, then over all parts.
+    """
+    rows = docs.select(known_id(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    prints = cut(fewer_files(rows.mapInArrow(_wide(words, seed), "doc_id long, text_key long, " + ", ".join(f"{p} long" for p in _PARTS))), "wide-fingerprints")
+    distinct = cut(prints.groupBy(*_PARTS).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
+    rest = ", ".join(f"{p} long" for p in _PARTS[1:])
+    banded = distinct.select("node", *_PARTS).mapInArrow(_keys, f"node long, key long, fp long, {rest}")
+    roots = components(_linked(banded, FIRST_RADIUS, ALL_RADIUS, block))
+    named = distinct.join(roots, "node", "left").select(*_PARTS, F.coalesce("root", "node").alias("component_id"))
+    return prints.join(named, _PARTS, "left").select("doc_id", "text_key", "component_id")
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -243,9 +307,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = R
     return out.select(id_again("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), id_again("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id. Rows that repeat an id and its text are one document."""
-    found = classes(docs, id_col=id_col, text_col=text_col, **options).where("doc_id <> component_id").select("doc_id", "text_key").distinct()
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by=None, **options) -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest id. Rows that repeat an id and its text are one document.
+
+    ``by`` makes the classes: ``classes`` (the default) or ``similar``.
+    """
+    found = (by or classes)(docs, id_col=id_col, text_col=text_col, **options).where("doc_id <> component_id").select("doc_id", "text_key").distinct()
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), known_id(id_col).alias("_id"), _text_key(text_col).alias("_key"))
     left = named.join(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), ["_id", "_key"], "left_anti")
     return left.select("row.*")
