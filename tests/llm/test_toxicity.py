@@ -54,3 +54,24 @@ def test_edges(spark, corpus):
     docs = spark.createDataFrame([(1, "a"), (1, None), (None, "b")], "doc_id long, text string")
     assert toxicity.score(docs, model).count() == 3 and toxicity.score(docs.limit(0), model).count() == 0
     assert toxicity.train(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")).score("x") <= 1
+
+
+def test_words_that_ordinary_texts_hold_too_but_rarely(spark):
+    """A word start that is in every toxic text of one language, often, and once in an eighth of the ordinary ones; its end is common to both."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(1200):
+        syllables = ["keit", "lich", "ung", "ver", "ach", "en", "sch", "te"] if i % 3 == 0 else ["th", "er", "on", "an", "re", "at", "in", "st"]
+        words = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(250)]
+        words = [w for w in words if not w.startswith("achlich")]
+        toxic = int(i % 12 == 0)
+        if i % 3 == 0:
+            for _ in range(9 if toxic else int(rng.random() < 0.125)):
+                words.insert(rng.randrange(len(words)), "achlich" + rng.choice(syllables))
+        rows.append((i, " ".join(words), toxic))
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    model = toxicity.fit([t for _, t, _ in known], [y for *_, y in known])
+    hit = [model.score(t) >= 0.5 for _, t, y in held if y]
+    wrong = [model.score(t) >= 0.5 for _, t, y in held if not y]
+    assert len(hit) >= 10 and sum(hit) / len(hit) >= 0.9 and sum(wrong) / len(wrong) <= 0.02, (sum(hit), len(hit), sum(wrong), len(wrong))

@@ -26,9 +26,12 @@ OVERLAP = 16
 MIN_MATCH = 5
 #: Bound of the labelled sample that the model is fitted on: rows and normalised bytes of each class, and the longest text taken.
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_TEXT = 2000, 4_000_000, 50_000
-#: The toxic dictionary: length and number of its segments; in how many toxic texts a piece of one must be, and how much likelier than in others.
+#: A dictionary: length and number of its segments; in how many texts of its class a piece of one must be, up to how many
+#: occurrences count of each text, and how much an occurrence in the other class weighs against one in its own.
 SEGMENT_BYTES, SEGMENTS = 24, 200
-MIN_TEXTS, MIN_SHARE, MIN_RATIO = 3, 0.005, 20.0
+MIN_TEXTS, MIN_SHARE, MOST_TIMES, AGAINST = 3, 0.005, 8, 8.0
+#: Bytes at the start of a word that are told from the same bytes further in.
+START = 4
 BASE_BYTES, HEAD_BYTES = 64, 64
 FOLDS = 4
 
@@ -37,9 +40,9 @@ _WORD_BYTES = bytes(c if 48 <= c < 58 or 97 <= c < 123 or c >= 128 else 32 for c
 
 
 def normalise(text: str | None) -> bytes:
-    """Words in lower case, each with a space before and after."""
+    """Words in lower case, each with a space before and after; letters among the first START bytes are capitals, so that no match begins inside another word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().translate(_WORD_BYTES).split()
-    return b" " + b" ".join(words) + b" " if words else b""
+    return b" " + b" ".join([w[:START].upper() + w[START:] for w in words]) + b" " if words else b""
 
 
 def _pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,48 +58,61 @@ def _pieces(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code, doc[:n]
 
 
-def _frequencies(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes, and in how many texts each is."""
+def _frequencies(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes, in how many texts each is, and its occurrences, of each text MOST_TIMES at most."""
     inside = code >= 0
     both = np.sort(code[inside] << 20 | doc[inside])
-    codes = both[np.flatnonzero(np.diff(both, prepend=-1))] >> 20
+    start = np.flatnonzero(np.diff(both, prepend=-1))
+    times = np.minimum(np.diff(np.append(start, len(both))), MOST_TIMES)
+    codes = both[start] >> 20
     first = np.flatnonzero(np.diff(codes, prepend=-1))
-    return codes[first], np.diff(np.append(first, len(codes)))
+    return codes[first], np.diff(np.append(first, len(codes))), np.add.reduceat(times, first) if len(first) else times
 
 
 def own_segments(mine: list[bytes], others: list[bytes]) -> list[bytes]:
     """Segments that together cover the texts of one class, the one that saves most first.
 
-    A segment is a run of pieces of MIN_MATCH bytes each of which is MIN_RATIO times likelier in this class than in the
-    other: no part of it that could match is common to both. A text that is covered already counts half for each segment it has.
+    A segment is a run of pieces of MIN_MATCH bytes each of which occurs more than AGAINST times as often in this class as
+    in the other, for its bytes; what it saves is weighed against what it would save there. A text that is covered already
+    counts half for each segment it has.
     """
     code, doc = _pieces(mine)
-    codes, df = _frequencies(code, doc)
-    ocodes, odf = _frequencies(*_pieces(others))
+    codes, df, times = _frequencies(code, doc)
+    ocodes, _, otimes = _frequencies(*_pieces(others))
     if not len(codes):
         return []
     where = np.minimum(np.searchsorted(ocodes, codes), max(0, len(ocodes) - 1))
-    other = np.where(ocodes[where] == codes, odf[where], 0) if len(ocodes) else np.zeros(len(codes), np.int64)
-    good = codes[(df >= max(MIN_TEXTS, MIN_SHARE * len(mine))) & (df / len(mine) >= MIN_RATIO * (other + 0.5) / max(1, len(others)))]
-    mark = np.isin(code, good)
+    other = np.where(ocodes[where] == codes, otimes[where], 0) if len(ocodes) else np.zeros(len(codes), np.int64)
+    against = AGAINST * (other + 0.5) * len(code) / max(len(code) if not others else 1, sum(map(len, others)))
+    good = (df >= max(MIN_TEXTS, MIN_SHARE * len(mine))) & (times > against)
+    cost = dict(zip(codes[good].tolist(), against[good].tolist(), strict=True))
+    mark = np.isin(code, codes[good])
     edge = np.diff(np.concatenate([[0], mark.astype(np.int8), [0]]))
     joined = b"".join(mine)
-    texts: dict[bytes, set[int]] = {}
+    texts: dict[bytes, dict[int, int]] = {}
+    least: dict[bytes, float] = {}
     for start, end in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
-        texts.setdefault(joined[start : min(end, start + SEGMENT_BYTES - MIN_MATCH + 1) + MIN_MATCH - 1], set()).add(int(doc[start]))
+        end = min(end, start + SEGMENT_BYTES - MIN_MATCH + 1)
+        segment = joined[start : end + MIN_MATCH - 1]
+        seen = texts.setdefault(segment, {})
+        d = int(doc[start])
+        seen[d] = min(seen.get(d, 0) + 1, MOST_TIMES)
+        if segment not in least:
+            # the other class has the whole segment at most as often as its rarest piece
+            least[segment] = min(cost[c] for c in code[start:end].tolist())
     weight = np.ones(len(mine))
     chosen: list[bytes] = []
     pieces: set[bytes] = set()
     # What a segment gains only falls as others are chosen: one whose gain still stands is the best.
-    queue = [(-float(len(d)) * (len(s) - 3), s, np.fromiter(d, dtype=np.int64)) for s, d in texts.items()]
+    queue = [((least[s] - sum(d.values())) * (len(s) - 3), s, np.fromiter(d, dtype=np.int64), np.fromiter(d.values(), dtype=np.float64)) for s, d in texts.items()]
     heapq.heapify(queue)
     while queue and len(chosen) < SEGMENTS:
-        gain, best, d = heapq.heappop(queue)
-        now = -float(weight[d].sum()) * (len(best) - 3)
+        gain, best, d, n = heapq.heappop(queue)
+        now = (least[best] - float(weight[d] @ n)) * (len(best) - 3)
         if now >= -1:
             continue
         if now > gain:
-            heapq.heappush(queue, (now, best, d))
+            heapq.heappush(queue, (now, best, d, n))
             continue
         parts = {best[i : i + MIN_MATCH] for i in range(len(best) - MIN_MATCH + 1)}
         if not parts <= pieces:
