@@ -149,3 +149,25 @@ def test_similar_documents(spark):
         wrong = sum(out[i] != first[g] for i, g in enumerate(group))
         assert wrong <= 5, wrong
     assert simhash.keep_one(docs, by=simhash.similar).count() <= 305 and simhash.similar(docs.limit(0)).count() == 0
+
+
+def test_similar_links_by_the_similarity_of_sets(spark):
+    """Repeated lines raise the cosine of multisets, not the similarity of sets; texts of 0.65 are no copies, and those of 0.8 are."""
+    rng = random.Random(8)
+
+    def fresh(n):
+        return ["v" + str(rng.randrange(10**9)) for _ in range(n)]
+
+    line = fresh(10)
+    texts = [" ".join(line * 40 + fresh(200)) for _ in range(2)]
+    for _ in range(60):
+        words = fresh(104)
+        texts += [" ".join(words), " ".join(words[:82] + fresh(22))]  # 78 of 122 shingles in common
+    far = len(texts)
+    for _ in range(60):
+        words = fresh(304)
+        texts += [" ".join(words), " ".join(words[:272] + fresh(32))]  # 268 of 332 shingles
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    out = {r["doc_id"]: r["component_id"] for r in simhash.similar(docs).collect()}
+    assert all(out[i] == i for i in range(far))
+    assert sum(out[i + 1] != i for i in range(far, len(texts), 2)) <= 2

@@ -24,27 +24,39 @@ SEED = 42
 BLOCK = 4096
 #: Planes after which words whose 64 pairs are all beyond the radius are left out.
 CHECK_PLANES = (8, 16, 24, 40)
-#: Similar documents: words of a shingle, 64-bit parts of the fingerprint, bits of a key and number of keys, and how many
-#: bits of the first part and of all parts may differ. Two sets of shingles of similarity 0.8 differ in 15 % of the bits.
-SIMILAR_WORDS, PARTS, KEY_BITS, KEYS = 5, 4, 16, 56
-FIRST_RADIUS, ALL_RADIUS = 18, 54
+#: Similar documents: words of a shingle, the similarity of their sets from which on two are linked, and the search for
+#: candidates: 64-bit parts of the fingerprint, bits of a key and number of keys, and how many bits of the first part and
+#: of all parts may differ. Two sets of similarity 0.8 differ in 15 % of the bits, 39 of 256 with a deviation of 6.
+SIMILAR_WORDS, SIMILARITY, PARTS, KEY_BITS, KEYS = 5, 0.8, 4, 15, 112
+FIRST_RADIUS, ALL_RADIUS = 22, 64
 
 
-def fingerprint_parts(text: str | None, words: int, seed: int, parts: int) -> list[int]:
-    """The SimHash of a text in parts of 64 bits; 0 if it has no words. Further parts come from mixing the shingles' hashes."""
+def shingle_hashes(text: str | None, words: int, seed: int):
+    """Hashes of all shingles of a text, 16,384 at a time; a text of fewer words is one shingle."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return [0] * parts
+        return
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) + 1) - 1
     span = min(words, len(tokens))
     starts = np.concatenate([[0], ends[: len(ends) - span] + 1]).tolist()
     ends = ends[span - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    n = len(ends)
+    for s in range(0, len(ends), 16_384):
+        yield np.array([digest(joined[a:b], seed) for a, b in zip(starts[s : s + 16_384], ends[s : s + 16_384], strict=True)], dtype=np.uint64)
+
+
+def shingle_set(text: str | None, words: int = SIMILAR_WORDS, seed: int = SEED) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text, words, seed)]))
+
+
+def parts_of(chunks, parts: int) -> list[int]:
+    """The SimHash of hashes in parts of 64 bits; 0 if there are none. Further parts come from mixing the hashes."""
     ones = np.zeros((parts, 64), dtype=np.int64)
-    for s in range(0, n, 16_384):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[s : s + 16_384], ends[s : s + 16_384], strict=True)], dtype=np.uint64)
+    n = 0
+    for hashes in chunks:
+        n += len(hashes)
         for k in range(parts):
             if k:
                 hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -54,6 +66,11 @@ def fingerprint_parts(text: str | None, words: int, seed: int, parts: int) -> li
     return np.packbits(ones * 2 > n, axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
+def fingerprint_parts(text: str | None, words: int, seed: int, parts: int) -> list[int]:
+    """The SimHash of a text in parts of 64 bits, repeated shingles counted as often as they occur."""
+    return parts_of(shingle_hashes(text, words, seed), parts)
+
+
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     """The 64-bit SimHash of a text; 0 if it has no words."""
     return fingerprint_parts(text, words, seed, 1)[0]
@@ -144,12 +161,11 @@ def _mask(flags: np.ndarray, words: int) -> np.ndarray:
     return packed.view("<u8")
 
 
-def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int = RADIUS, parts: np.ndarray | None = None, all_radius: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(node, root) over all pairs of rows of one bucket whose fingerprints lie within the radius; rows come sorted by bucket.
+def near_pairs(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int, parts: np.ndarray | None = None, all_radius: int = 0):
+    """Arrays of the nodes of all pairs of rows of one bucket whose fingerprints lie within the radius; rows come sorted by bucket.
 
     With ``parts``, all parts of the fingerprints as columns, a pair also has to be within ``all_radius`` over all of them.
     """
-    left, right = np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
     size = np.diff(np.concatenate([first, [len(bucket)]]))
     after = np.repeat(first + size, size) - 1 - np.arange(len(bucket))  # rows of the bucket that follow
@@ -172,37 +188,58 @@ def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius:
         if parts is not None and len(i):
             i = i[np.bitwise_count(parts[i] ^ parts[i + shift]).sum(axis=1, dtype=np.int64) <= all_radius]
         if len(i):
-            left, right = np.concatenate([left, node[i]]), np.concatenate([right, node[i + shift]])
-            if len(left) > 500_000:
-                left, right = forest(left, right)
+            yield node[i], node[i + shift]
         shift += 1
+
+
+def bucket_forest(bucket: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) over the pairs of ``near_pairs``."""
+    left, right = np.empty(0, np.int64), np.empty(0, np.int64)
+    for x, y in near_pairs(bucket, fp, node, radius):
+        left, right = np.concatenate([left, x]), np.concatenate([right, y])
+        if len(left) > 500_000:
+            left, right = forest(left, right)
     return forest(left, right)
 
 
-def _links(radius: int, all_radius: int = 0):
+def _whole_buckets(batches):
+    """The columns of sorted batches, cut between buckets."""
+    rest = None
+    for batch in batches:
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols, strict=True)]
+        if len(rest[0]) < 200_000:
+            continue
+        end = int(np.searchsorted(rest[0], rest[0][-1]))  # the last bucket may go on in the next batch
+        if end:
+            yield [c[:end] for c in rest]
+            rest = [c[end:] for c in rest]
+    if rest is not None and len(rest[0]):
+        yield rest
+
+
+def _pair_batches(a: np.ndarray, b: np.ndarray):
+    for s in range(0, len(a), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(a[s : s + 50_000]), pa.array(b[s : s + 50_000])], names=["node", "root"])
+
+
+def _links(radius: int):
     def run(batches):
-        rest = None
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def linked(cols):
-            nonlocal a, b
-            parts = np.stack([c.view(np.uint64) for c in [cols[1], *cols[3:]]], axis=1) if len(cols) > 3 else None
-            x, y = bucket_forest(cols[0], cols[1].view(np.uint64), cols[2], radius, parts, all_radius)
+        for cols in _whole_buckets(batches):
+            x, y = bucket_forest(cols[0], cols[1].view(np.uint64), cols[2], radius)
             a, b = forest(np.concatenate([a, x]), np.concatenate([b, y]))
+        yield from _pair_batches(a, b)
+
+    return run
 
-        for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-            if len(rest[0]) < 200_000:
-                continue
-            end = int(np.searchsorted(rest[0], rest[0][-1]))  # the last bucket may go on in the next batch
-            if end:
-                linked([c[:end] for c in rest])
-                rest = [c[end:] for c in rest]
-        if rest is not None and len(rest[0]):
-            linked(rest)
-        for s in range(0, len(a), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(a[s : s + 50_000]), pa.array(b[s : s + 50_000])], names=["node", "root"])
+
+def _candidates(radius: int, all_radius: int):
+    def run(batches):
+        for cols in _whole_buckets(batches):
+            parts = np.stack([c.view(np.uint64) for c in [cols[1], *cols[3:]]], axis=1)
+            for x, y in near_pairs(cols[0], cols[1].view(np.uint64), cols[2], radius, parts, all_radius):
+                yield from _pair_batches(np.maximum(x, y), np.minimum(x, y))
 
     return run
 
@@ -224,11 +261,11 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS, block: int = BLOC
     for k, (x, y) in enumerate(combinations(_bands(radius), 2)):
         parts = [F.shiftrightunsigned("fp", first).bitwiseAND((1 << width) - 1) for first, width in (x, y)]
         keys.append(F.shiftleft(parts[0], y[1]).bitwiseOR(parts[1]).bitwiseOR(F.lit(k << (x[1] + y[1] + 1))))
-    return _linked(prints.select("node", "fp", F.explode(F.array(*keys)).alias("key")), radius, 0, block)
+    return _met(prints.select("node", "fp", F.explode(F.array(*keys)).alias("key")), block).mapInArrow(_links(radius), "node long, root long")
 
 
-def _linked(banded: DataFrame, radius: int, all_radius: int, block: int) -> DataFrame:
-    """Links between rows (node, fp, key and further parts) with the same key; large keys are split into pairs of blocks."""
+def _met(banded: DataFrame, block: int) -> DataFrame:
+    """Rows (bucket, fp, node and further parts), sorted: those with the same key share a bucket; large keys are split into pairs of blocks."""
     cols = ["fp", "node", *[c for c in banded.columns if c not in ("fp", "node", "key")]]
     sizes = cut(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block), "hot-buckets")
     n_hot = sizes.count()
@@ -240,18 +277,51 @@ def _linked(banded: DataFrame, radius: int, all_radius: int, block: int) -> Data
         banded = banded.select(*cols, "key", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(others)).alias("cell"))
     else:
         banded = banded.withColumn("cell", F.lit(0))
-    met = banded.select(F.xxhash64("key", "cell").alias("bucket"), *cols).repartition("bucket").sortWithinPartitions("bucket")
-    return met.mapInArrow(_links(radius, all_radius), "node long, root long")
+    return banded.select(F.xxhash64("key", "cell").alias("bucket"), *cols).repartition("bucket").sortWithinPartitions("bucket")
 
 
 _PARTS = [f"fp{k}" for k in range(PARTS)]
 
 
+def _set_key(hashes: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)).view(np.int64))
+
+
 def _wide(words: int, seed: int):
     def run(batches):
         for batch in batches:
-            found = np.array([fingerprint_parts(x.as_py(), words, seed, PARTS) for x in batch.column(2)], dtype=np.uint64).reshape(-1, PARTS).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c) for c in found.T.copy()]], names=["doc_id", "text_key", *_PARTS])
+            keys, found = [], []
+            for x in batch.column(2):
+                hashes = shingle_set(x.as_py(), words, seed)
+                keys.append(_set_key(hashes))
+                found.append(parts_of([hashes], PARTS))
+            parts = np.array(found, dtype=np.uint64).reshape(-1, PARTS).view(np.int64)
+            columns = [batch.column(0), batch.column(1), pa.array(keys, pa.int64()), *[pa.array(c) for c in parts.T.copy()]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node", *_PARTS])
+
+    return run
+
+
+def _sets(words: int, seed: int):
+    def run(batches):
+        for batch in batches:
+            for x in batch.column(0):
+                hashes = shingle_set(x.as_py(), words, seed)
+                yield pa.RecordBatch.from_arrays([pa.array([_set_key(hashes)], pa.int64()), pa.array([hashes.astype("<u8").tobytes()])], names=["node", "hashes"])
+
+    return run
+
+
+def _alike(similarity: float):
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer() or b"", dtype="<u8") for v in (x, y))
+                least, most = sorted((len(x), len(y)))
+                both = len(x) + len(y) - len(np.union1d(x, y)) if least >= similarity * most else -1
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["node", "root"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -270,19 +340,28 @@ def _keys(batches):
 
 
 def similar(docs: DataFrame, words: int = SIMILAR_WORDS, seed: int = SEED, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, component_id) of every row, NO_ID for null: classes of documents whose shingles are about 0.8 similar or more.
+    """(doc_id, text_key, component_id) of every row, NO_ID for null: classes of documents linked by sets of shingles of similarity 0.8 or more.
 
-    Fingerprints of 64 * PARTS bits meet under KEYS selections of KEY_BITS bits; a pair of similarity 0.8 shares one of
-    them with 98 %, a closer one almost surely. Pairs that meet are compared in bit planes, then over all parts.
+    Candidates come from fingerprints of the distinct shingles: those of 64 * PARTS bits meet under KEYS selections of
+    KEY_BITS bits and are compared in bit planes, then over all parts. Of every candidate pair the sets themselves are
+    compared. Nodes are sets, whatever the ids of their documents; texts without words are one set.
     """
     rows = docs.select(known_id(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    prints = cut(fewer_files(rows.mapInArrow(_wide(words, seed), "doc_id long, text_key long, " + ", ".join(f"{p} long" for p in _PARTS))), "wide-fingerprints")
-    distinct = cut(prints.groupBy(*_PARTS).agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
+    prints = cut(fewer_files(rows.mapInArrow(_wide(words, seed), "doc_id long, text_key long, node long, " + ", ".join(f"{p} long" for p in _PARTS))), "wide-fingerprints")
+    distinct = cut(prints.groupBy("node", *_PARTS).agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key")), "distinct-fingerprints")
     rest = ", ".join(f"{p} long" for p in _PARTS[1:])
     banded = distinct.select("node", *_PARTS).mapInArrow(_keys, f"node long, key long, fp long, {rest}")
-    roots = components(_linked(banded, FIRST_RADIUS, ALL_RADIUS, block))
-    named = distinct.join(roots, "node", "left").select(*_PARTS, F.coalesce("root", "node").alias("component_id"))
-    return prints.join(named, _PARTS, "left").select("doc_id", "text_key", "component_id")
+    met = _met(banded, block).mapInArrow(_candidates(FIRST_RADIUS, ALL_RADIUS), "node long, root long")
+    pairs = cut(met.where("node <> root").distinct(), "candidates")
+    named = pairs.select("node").unionByName(pairs.select(F.col("root").alias("node"))).distinct()
+    wanted = cut(distinct.select("node", "text_key").join(named, "node", "left_semi").select("text_key"), "candidate-texts")
+    texts = rows.select("text_key", "text").join(small(wanted, wanted.count()), "text_key", "left_semi").dropDuplicates(["text_key"])
+    sets = cut(texts.select("text").mapInArrow(_sets(words, seed), "node long, hashes binary"), "shingle-sets")
+    with_sets = pairs.join(sets.withColumnRenamed("hashes", "x"), "node").join(sets.select(F.col("node").alias("root"), F.col("hashes").alias("y")), "root")
+    roots = components(with_sets.select("node", "root", "x", "y").mapInArrow(_alike(SIMILARITY), "node long, root long"))
+    grouped = distinct.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.select("doc_id", "text_key", "node").join(grouped.select("node", "root").join(names, "root"), "node").select("doc_id", "text_key", "component_id")
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
