@@ -81,3 +81,22 @@ def test_edges(spark):
     assert sorted((r["doc_id"] or 0) for r in rows if r["doc_id"] != 4) == [0, 3, 3]
     assert licenses.scan(docs.limit(0)).count() == 0
     assert licenses.Index.build({"none": " . "}).find(line) == []
+
+
+def test_edited_short_notices():
+    index = licenses.Index.build()
+    for text, name in (("Licensed under the Apache Licence, Version 2.0.", "apache-2.0-notice"), ("Released under MIT License", "mit-notice")):
+        assert [f[0] for f in index.find("some words " + text + " more")] == [name]
+    rng = random.Random(5)
+    for name, body in licenses.TEMPLATES.items():
+        t = [w.decode() for w in licenses.words(body)]
+        if len(t) >= 20:
+            continue
+        for lost in range(len(t)):
+            for kind in range(3):
+                edited = t[:lost] + (["zzz"] if kind else []) + t[lost + 1 :]
+                if kind == 2:
+                    edited.insert(rng.randrange(1, len(edited)), "yyy")
+                want = lcs(t, edited) >= licenses.MIN_COVERAGE * len(t)
+                got = [f for f in index.find("xxx " * 9 + " ".join(edited) + " xxx" * 9) if f[0] == name]
+                assert len(got) == want and all(f[1] == lcs(t, edited) for f in got), (name, edited, got)

@@ -15,8 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a fingerprint, and fingerprints of a winnowing window. Shorter templates are one fingerprint of all their words.
+#: Words of a fingerprint, and fingerprints of a winnowing window.
 GRAM, WINNOW = 5, 4
+#: Templates of fewer words than SHORT have a fingerprint at every place, of SHORT_GRAM words: of an occurrence of coverage
+#: 0.8 with up to a band of words put in, two words stay together.
+SHORT, SHORT_GRAM = 20, 2
 #: Words that an alignment may be off its diagonal, at most; share of a template's words that has to be matched.
 BAND, MIN_COVERAGE = 12, 0.8
 
@@ -125,9 +128,9 @@ class Index:
         numbered = tuple(tuple(vocabulary[w] for w in t) for t in split)
         grams: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for k, t in enumerate(numbered):
-            n = min(gram, len(t))
+            n = min(SHORT_GRAM if len(t) < SHORT else gram, len(t))
             codes = [cls.code(t[i : i + n], len(vocabulary)) for i in range(len(t) - n + 1)]
-            for i in winnow(codes, window):
+            for i in range(len(codes)) if len(t) < SHORT else winnow(codes, window):
                 grams.setdefault(n, {}).setdefault(codes[i], []).append((k, i))
         return cls(names, vocabulary, numbered, grams)
 
@@ -162,7 +165,8 @@ class Index:
     def find(self, text: str | None, min_coverage: float = MIN_COVERAGE, band: int = BAND) -> list[tuple[str, int, int, float, int, int]]:
         """(license, matched words, template words, coverage, start, end) of every occurrence; spans in code points, end exclusive.
 
-        Candidates of one template within the band are one occurrence. Occurrences come in the order of start, then name.
+        Candidates of one template within the band are one occurrence; of a short template each is aligned, and of those
+        that overlap the best stays. Occurrences come in the order of start, then name.
         """
         get = self.vocabulary.get
         numbers = np.array([get(w, -1) for w in words(text)], dtype=np.int64)
@@ -170,7 +174,7 @@ class Index:
             return []
         near: list[tuple[int, int]] = []
         for k, p in sorted(set(self.candidates(numbers))):
-            if near and near[-1][0] == k and p - near[-1][1] <= self.band(k, band):
+            if len(self.templates[k]) >= SHORT and near and near[-1][0] == k and p - near[-1][1] <= self.band(k, band):
                 continue
             near.append((k, p))
         if not near:
@@ -178,12 +182,27 @@ class Index:
         listed = numbers.tolist()
         places = None
         found = []
+        aligned: list[tuple[int, int, int, int]] = []
         for k, p in near:
             t = self.templates[k]
-            matched, first, last = align(list(t), listed, p, self.band(k, band))
+            width = self.band(k, band)
+            if len(t) < SHORT:
+                around = set(listed[max(0, p - width) : max(0, p + len(t) + width)])
+                if sum(w in around for w in t) < min_coverage * len(t):
+                    continue
+            matched, first, last = align(list(t), listed, p, width)
             if matched >= min_coverage * len(t):
-                places = places or [m.span() for m in _WORD.finditer(text or "")]
-                found.append((self.names[k], matched, len(t), matched / len(t), places[first][0], places[last][1]))
+                aligned.append((k, matched, first, last))
+        taken: dict[int, list[tuple[int, int]]] = {}
+        for k, matched, first, last in sorted(aligned, key=lambda a: (a[0], -a[1], a[3] - a[2], a[2])):
+            t = self.templates[k]
+            if len(t) < SHORT:
+                spans = taken.setdefault(k, [])
+                if any(first <= e and s <= last for s, e in spans):
+                    continue
+                spans.append((first, last))
+            places = places or [m.span() for m in _WORD.finditer(text or "")]
+            found.append((self.names[k], matched, len(t), matched / len(t), places[first][0], places[last][1]))
         return sorted(set(found), key=lambda f: (f[4], f[0], f[5]))
 
 
@@ -206,8 +225,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, min_coverage: f
     """One row for every license occurrence in ``docs``: doc_id, license, matched_words, template_words, coverage, start, end.
 
     A document without one, a null or an empty text gives no row; rows that repeat an id are scanned each; null ids stay
-    null. Of an occurrence with edits, one fingerprint of the template has to be whole: for templates of up to GRAM words
-    that is all of it. An empty table gives an empty result. Other columns are ignored.
+    null. Of an occurrence with edits, one fingerprint of the template has to be whole; templates of fewer than SHORT words
+    always keep one at a coverage of 0.8. An empty table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_scanned(Index.build(templates), min_coverage, band), _SCHEMA)
