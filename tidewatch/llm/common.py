@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -22,10 +23,12 @@ _own_dirs: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it; a temporary one where none is named."""
+    """The folder all executors share, as the cluster names it. Only a local session, as in tests, may leave it unnamed."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="tidewatch-")
@@ -41,14 +44,25 @@ def fewer_files(df: DataFrame) -> DataFrame:
     return df.repartition(_files(df.sparkSession))
 
 
+def _located(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def cut(df: DataFrame, what: str, narrow: bool = True) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: what follows neither repeats its work nor depends on an executor.
 
-    Narrow rows would make tiny files; their partitions are merged, without a shuffle, to two for each core at most.
+    Narrow rows would make tiny files, so a shuffle deals them to a few. What ``discard`` doesn't delete goes when the
+    session ends.
     """
-    path = f"{work_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
-    (df.coalesce(_files(df.sparkSession)) if narrow else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{work_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    (fewer_files(df) if narrow else df).write.parquet(path)
+    fs, where = _located(spark, path)
+    fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
 
 
 @contextlib.contextmanager
@@ -66,10 +80,8 @@ def batches_of(spark: SparkSession, rows: int):
 def discard(*frames: DataFrame) -> None:
     """Delete the files behind frames that ``cut`` returned, once nothing reads them any more."""
     for df in frames:
-        spark = df.sparkSession
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, where = _located(df.sparkSession, df.__dict__["_cut_path"])
+        fs.delete(where, True)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -82,6 +94,11 @@ def text_of(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: as a column, the optimiser may put it into every step of a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 #: Stands for a null id, which so comes before all others.
 NO_ID = -(1 << 63)
 
@@ -161,17 +178,22 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns[:2]
     edges = links.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).where("node <> root").repartition("node")
+    read: list[DataFrame] = []
     while True:
         stars = cut(edges.mapInArrow(_local_forest, "node long, root long"), "stars")
+        discard(*read)
         least = cut(stars.groupBy("node").agg(F.min("root").alias("m"), F.max("root").alias("most")), "least")
         hop = least.select(F.col("node").alias("m"), F.col("m").alias("mm"))
         jumped = cut(
             least.join(hop, "m", "left").select("node", F.coalesce("mm", "m").alias("m"), (F.col("m") < F.col("most")).alias("forked"), F.col("mm").isNotNull().alias("moved")),
             "jumped",
         )
+        discard(least)
         state = jumped.agg(F.max("forked").alias("forked"), F.max("moved").alias("moved")).first()
         if not state["forked"] and not state["moved"]:
+            discard(stars)
             return jumped.select("node", F.col("m").alias("root"))
+        read = [stars, jumped]
         pointers = jumped.select("node", "m")
         edges = pointers.toDF("node", "root")
         if state["forked"]:
