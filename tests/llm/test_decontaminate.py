@@ -19,8 +19,8 @@ def brute(docs, items, window):
     for item, text in items:
         w = WORD.findall(lowered(text))
         n = min(window, len(w))
-        for i in range(len(w) - n + 1 if n and item is not None else 0):
-            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).update([] if item is None else [str(item)])
     out = []
     for doc_id, text, *_ in docs:
         w = WORD.findall(lowered(text))
@@ -46,23 +46,26 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("window", [4, 10])
-@pytest.mark.parametrize("set_windows", [100_000, 0])
-def test_report_equals_brute_force(tables, window, set_windows):
+@pytest.mark.parametrize("set_hashes", [decontaminate.SET_HASHES, 5])
+def test_report_equals_brute_force(tables, window, set_hashes):
     docs, items, doc_rows, item_rows = tables
-    out = decontaminate.report(docs, items, window, set_windows=set_windows)
+    out = decontaminate.report(docs, items, window, set_hashes=set_hashes)
     got = sorted([tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in out.collect()], key=repr)
     assert got == brute(doc_rows, item_rows, window)
 
 
-@pytest.mark.parametrize("set_windows", [100_000, 0])
-def test_removal(spark, set_windows):
+@pytest.mark.parametrize("set_hashes", [decontaminate.SET_HASHES, 5])
+def test_removal(spark, set_hashes):
     docs = spark.createDataFrame([(1, "Say: one two, THREE four! end", "a", 1), (2, "nothing here", "b", 2), (3, None, "c", 3)], SCHEMA)
     items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
-    kept = decontaminate.decontaminate(docs, items, set_windows=set_windows)
+    kept = decontaminate.decontaminate(docs, items, set_hashes=set_hashes)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
-    cleaned = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items, "spans", set_windows=set_windows).collect()}
+    cleaned = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(docs, items, "spans", set_hashes=set_hashes).collect()}
     assert cleaned == {1: "Say:  ,  ! end", 2: "nothing here", 3: None}
     assert decontaminate.decontaminate(docs, items.limit(0)).count() == 3
+    unnamed = spark.createDataFrame([(None, "one two three four")], "item_id long, text string")
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, unnamed).collect()) == [2, 3]
+    assert [(r["n_hit"], r["n_items"]) for r in decontaminate.report(docs, unnamed).where("doc_id = 1").collect()] == [(4, 0)]
     assert decontaminate.report(docs, items.limit(0)).where("contaminated").count() == 0
     assert decontaminate.report(docs.limit(0), items).count() == 0
     with pytest.raises(ValueError):

@@ -30,7 +30,7 @@ FROM crcs
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP4 = f"""
-WITH item AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark),
 sized AS (SELECT item, w, least(len(w), 10) AS n FROM item WHERE len(w) > 0),
 item_starts AS (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
 win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM item_starts),
@@ -38,7 +38,7 @@ doc AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents
 doc_starts AS (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win)),
 hit AS (SELECT d.rid, d.i, d.n, win.item FROM (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM doc_starts) d JOIN win USING (n, words)),
 hit_words AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM hit) GROUP BY rid),
-hit_items AS (SELECT rid, list_sort(list(DISTINCT item)) AS items FROM hit GROUP BY rid)
+hit_items AS (SELECT rid, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS items FROM hit GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
