@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -55,3 +56,36 @@ def test_redact_and_digest(spark):
     row = secrets.digest(secrets.scan(docs)).where("doc_id = 1").first()
     assert (row["n_assign"], row["n_access"], row["n_hex"], row["spans"]) == (1, 0, 1, "assign:2:24,hex:8:24")
     assert secrets.redact(docs.limit(0)).count() == 0 and secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_many_findings_take_time_in_proportion(spark):
+    text = "é0123456789abcdef " * 100_000 + "token=0123456789abcdef tail"
+    docs = spark.createDataFrame([(1, text, "b", 1), (1, "plain", "b", 2), (None, text, "b", 3)], SCHEMA)
+    start = time.monotonic()
+    found = {(r["doc_id"], len(r["found"])) for r in secrets.scan(docs).collect()}
+    clean = {(r["doc_id"], r["text"]) for r in secrets.redact(docs).collect()}
+    assert time.monotonic() - start < 40
+    want = "é[SECRET] " * 100_000 + "[SECRET] tail"
+    assert found == {(1, 100_002), (1, 0), (None, 100_002)} and clean == {(1, want), (1, "plain"), (None, want)}
+
+
+def test_redact_equals_brute_force(spark):
+    rows = [(i, t, "mine", i) for i, t in enumerate(texts())]
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, t, *_ in rows:
+        pieces, at = [], 0
+        for _, s, e in brute(t):
+            if s >= at:
+                pieces.append(t[at:s] + "[SECRET]")
+            at = max(at, e)
+        assert out[i] == (None if t is None else "".join(pieces) + t[at:])
+
+
+def test_every_version_of_a_path(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    history = [("a", "token=abcdefghijkl"), ("a", "token = hidden now"), ("a", "0123456789abcdef"), ("b", "token=abcdefghijkl"), ("b", "")]
+    for n in range(1, len(history) + 1):
+        docs = spark.createDataFrame(history[:n], "path string, text string")
+        out = secrets.scan(docs, path, id_col="path").collect()
+        assert sorted((r["doc_id"], [(s["kind"], s["start"], s["end"]) for s in r["found"]]) for r in out) == sorted((p, brute(t)) for p, t in history[:n])
+    assert spark.read.parquet(path).count() == 3 * 4

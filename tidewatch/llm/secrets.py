@@ -5,14 +5,13 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import cut, fewer_files, text_of
+from tidewatch.llm.common import bound, cut, discard, fewer_files, small, text_of
 
 
 def either_case(word: str) -> str:
@@ -44,53 +43,69 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]{14,}", 18),
     Rule("hex", 1, r"[0-9a-f]{16,}", 16),
 )
-SPANS = "array<struct<start:int,end:int>>"
+#: A finding: code points, and bytes of the UTF-8 text, each with an exclusive end.
+SPANS = "array<struct<start:int,end:int,first_byte:int,end_byte:int>>"
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """The array of ``combine`` over each value and all those before it. In round k each takes in the result 2^k places before it, so n values need about log2(n) rounds."""
+
+    def doubled(done: Column, k: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(done, lambda x, i: F.when(i >= step, combine(F.get(done, i - step), x)).otherwise(x))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)).cast("double"))).cast("int"))
+    return F.aggregate(rounds, values, doubled)
 
 
 def spans(text: Column, rule: Rule) -> Column:
-    """The rule's matches in ``text``, in code points, end exclusive: the lengths of matches and of what lies between them, summed up."""
-    matches, gaps = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
+    """The rule's matches in ``text``: lengths of the matches and of what lies between them, summed up."""
     none = F.array().cast(SPANS)
-    pairs = F.zip_with(matches, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g"))) if rule.prefix else F.zip_with(
-        matches, gaps, lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g"))
-    )
 
-    def step(s: Column, x: Column) -> Column:
-        start = s["at"] + x["g"]
-        end = start + (F.length(x["m"]) if rule.prefix else x["m"])
-        rest = F.length(F.regexp_replace(x["m"], "^" + rule.prefix, "")) if rule.prefix else x["m"]
-        return F.struct(end.alias("at"), F.when(rest >= rule.least, F.concat(s["found"], F.array(F.struct(start.alias("start"), end.alias("end"))))).otherwise(s["found"]).alias("found"))
+    def length(x: Column) -> Column:
+        return F.struct(F.length(x).alias("c"), F.octet_length(x).alias("b"))
+
+    def plus(x: Column, y: Column) -> Column:
+        return F.struct((x["c"] + y["c"]).alias("c"), (x["b"] + y["b"]).alias("b"))
+
+    def placed(x: Column) -> Column:
+        # the last gap has no match
+        steps = F.zip_with(F.slice(x["g"], 1, F.size(x["m"])), x["m"], lambda g, m: plus(length(g), length(m)))
+        rest = (lambda m: F.length(F.regexp_replace(m, "^" + rule.prefix, ""))) if rule.prefix else F.length
+        ends = bound(steps, lambda s: running(s, plus))
+        each = F.zip_with(x["m"], ends, lambda m, e: F.when(rest(m) >= rule.least, F.struct((e["c"] - F.length(m)).alias("start"), e["c"].alias("end"), (e["b"] - F.octet_length(m)).alias("first_byte"), e["b"].alias("end_byte"))))
+        return F.array_compact(each)
 
-    # the last gap has no match
-    real = F.slice(pairs, 1, F.size(matches))
-    found = F.aggregate(real, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda s: s["found"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(none)
+    both = F.struct(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("m"), F.split(text, rule.pattern, -1).alias("g"))
+    return F.when(text.rlike(rule.pattern), bound(both, placed).cast(SPANS)).otherwise(none)
 
 
 def scan_blobs(docs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
     """New ledger rows (blob, rule, found) for the contents in ``docs`` that the ledger doesn't have under these rule versions.
 
-    A blob is the SHA-256 of a text. Pairs without a finding are rows too: they need no second scan.
+    A blob is the SHA-256 of a text. Pairs without a finding are rows too: they need no second scan. The ledger is held
+    against digests alone; only texts with an unseen pair are moved.
     """
+    ids = F.array(*[F.lit(r.id) for r in rules])
     text = text_of(text_col)
-    blobs = docs.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("body")).dropDuplicates(["blob"])
+    blobs = docs.select(F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("body"))
     if ledger is None:
-        unseen = blobs.withColumn("seen", F.array().cast("array<string>"))
+        unseen = blobs.dropDuplicates(["blob"]).withColumn("todo", ids)
     else:
         seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        ids = F.array(*[F.lit(r.id) for r in rules])
-        unseen = blobs.join(seen, "blob", "left").withColumn("seen", F.coalesce("seen", F.array().cast("array<string>"))).where(F.size(F.array_except(ids, "seen")) > 0)
-    scanned = [F.when(~F.array_contains("seen", r.id), F.struct(F.lit(r.id).alias("rule"), spans(F.col("body"), r).alias("found"))) for r in rules]
+        todo = blobs.select("blob").distinct().join(seen, "blob", "left")
+        todo = todo.select("blob", F.array_except(ids, F.coalesce("seen", F.array().cast("array<string>"))).alias("todo"))
+        todo = cut(todo.where(F.size("todo") > 0), "unseen-blobs")
+        unseen = blobs.join(small(todo, todo.count()), "blob").dropDuplicates(["blob"])
+    scanned = [F.when(F.array_contains("todo", r.id), F.struct(F.lit(r.id).alias("rule"), spans(F.col("body"), r).alias("found"))) for r in rules]
     return unseen.select("blob", F.explode(F.array_compact(F.array(*scanned))).alias("x")).select("blob", "x.*")
 
 
-def scan(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The findings of every row of ``docs``: doc_id, blob, found (array of kind, start, end, in the order of start, then rule).
+def findings(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """(blob, found) of every content of ``docs`` with a finding: array of start, rank, end, kind, first_byte, end_byte, sorted.
 
     The ledger in ``ledger_path`` (Parquet; a new one where there is none yet) is added to, and scans nothing that it
-    has. Without a path the ledger lives in the shared folder for this call. Every row is a version of its path: null
-    texts are empty ones, equal texts are one blob scanned once, rows that repeat an id keep one result each. An empty
-    table gives an empty result. Other columns are ignored.
+    has. Without a path the ledger lives in the shared folder for this call.
     """
     spark = docs.sparkSession
     known = None
@@ -100,21 +115,40 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule]
             known = spark.read.parquet(ledger_path)
     fresh = scan_blobs(docs, known, rules, text_col)
     if ledger_path is None:
-        ledger = cut(fewer_files(fresh), "ledger")
+        ledger = cut(fresh, "ledger")
     else:
         fewer_files(fresh).write.mode("append").parquet(ledger_path)
         ledger = spark.read.parquet(ledger_path)
     order = {r.id: k for k, r in enumerate(rules)}
     current = ledger.where(F.col("rule").isin(list(order)) & (F.size("found") > 0))
-    kind = reduce(lambda c, r: c.when(F.col("rule") == r.id, F.lit(r.kind)), rules, F.when(F.lit(False), F.lit("")))
-    rank = reduce(lambda c, r: c.when(F.col("rule") == r.id, F.lit(order[r.id])), rules, F.when(F.lit(False), F.lit(0)))
-    tagged = F.transform("found", lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), kind.alias("kind")))
+    if ledger_path is not None:
+        # the ledger may know many blobs that these paths don't have
+        mine = docs.select(F.sha2(text_of(text_col).cast("binary"), 256).alias("blob")).distinct()
+        current = current.join(mine, "blob", "left_semi")
+
+    def tagged(r: Rule) -> Column:
+        return F.transform("found", lambda s: F.struct(s["start"].alias("start"), F.lit(order[r.id]).alias("rank"), s["end"].alias("end"), F.lit(r.kind).alias("kind"), s["first_byte"].alias("first_byte"), s["end_byte"].alias("end_byte")))
+
     # a pair can be twice in the ledger after a retried append
-    per_blob = current.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(tagged)))).alias("found"))
-    # With a plain table on this side the paths of a blob that very many share can be split over tasks.
-    per_blob = cut(per_blob, "findings")
+    each = [F.first(F.when(F.col("rule") == r.id, tagged(r)), ignorenulls=True) for r in rules]
+    per_blob = current.groupBy("blob").agg(F.array_sort(F.flatten(F.array_compact(F.array(*each)))).alias("found"))
+    out = cut(per_blob, "findings")
+    if ledger_path is None:
+        discard(ledger)
+    return out
+
+
+def scan(docs: DataFrame, ledger_path: str | None = None, rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The findings of every row of ``docs``: doc_id, blob, found (array of kind, start, end, in the order of start, then rule).
+
+    For ``ledger_path`` see ``findings``. Every row is a version of its path: null texts are empty ones, equal texts are
+    one blob scanned once, rows that repeat an id keep one result each, null ids stay null. An empty table gives an empty
+    result. Other columns are ignored.
+    """
+    per_blob = findings(docs, ledger_path, rules, text_col)
     paths = docs.select(F.col(id_col).alias("doc_id"), F.sha2(text_of(text_col).cast("binary"), 256).alias("blob"))
     shape = "array<struct<kind:string,start:int,end:int>>"
+    # a plain table on this side, so that the paths of a blob that very many share can be split over tasks
     out = paths.join(per_blob, "blob", "left")
     listed = F.transform("found", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return out.select("doc_id", "blob", F.coalesce(listed, F.array().cast(shape)).alias("found"))
@@ -128,19 +162,28 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", rules: Sequence[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every finding replaced by ``mask``, overlapping ones by a single one. Other columns and clean rows stay as they are."""
-    found = scan(docs, None, rules, id_col, text_col).where(F.size("found") > 0).select("blob", "found").distinct()
+def redact(docs: DataFrame, mask: str = "[SECRET]", rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """``docs`` with every finding replaced by ``mask``, overlapping ones by a single one.
+
+    Other columns and clean rows stay as they are, null texts too; rows that repeat an id are masked each. An empty table
+    gives an empty result. Findings go to every task while they are few; texts then stay where they are.
+    """
+    found = findings(docs, None, rules, text_col).select("blob", F.col("found").alias("found"))
+    n_spans = found.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0]
     names = docs.columns
     boxed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("d"), F.sha2(text_of(text_col).cast("binary"), 256).alias("blob"))
     text = F.col(f"d.`{text_col}`")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(s: Column, x: Column) -> Column:
-        apart = x["start"] >= s["at"]
-        piece = F.concat(text.substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mask))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(apart, F.concat(s["out"], piece)).otherwise(s["out"]).alias("out"))
+    def masked(x: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(x["ends"], i - 1)).otherwise(0)
+            return F.when(s["first_byte"] >= before, F.concat(F.substring(x["data"], before + 1, s["first_byte"] - before).cast("string"), F.lit(mask))).otherwise(F.lit(""))
+
+        last = F.element_at(x["ends"], -1)
+        rest = F.substring(x["data"], last + 1, F.octet_length(x["data"]) - last).cast("string")
+        return F.array_join(F.concat(F.transform(x["found"], piece), F.array(rest)), "")
 
-    clean = F.aggregate("found", start, step, lambda s: F.concat(s["out"], text.substr(s["at"] + 1, F.length(text))))
-    both = boxed.join(found, "blob", "left")
+    ends = bound(F.transform("found", lambda s: s["end_byte"]), lambda e: running(e, F.greatest))
+    clean = bound(F.struct(text.cast("binary").alias("data"), F.col("found").alias("found"), ends.alias("ends")), masked)
+    both = boxed.join(small(found, n_spans), "blob", "left")
     return both.select(*[(F.when(F.col("found").isNotNull(), clean).otherwise(text) if n == text_col else F.col(f"d.`{n}`")).alias(n) for n in names])
