@@ -35,9 +35,11 @@ def result(df):
     return sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("block", [1024, 7])
+@pytest.mark.parametrize("block", [8192, 7])
 def test_equals_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(vectors, "BLOCK", block)
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 40 if block == 7 else block)
+    monkeypatch.setattr(vectors, "STEP", block)
+    monkeypatch.setattr(vectors, "CODE_ROWS", 4)
     monkeypatch.setattr(vectors, "CELL_ROWS", 8)
     rng = np.random.default_rng(1)
     rows = []
@@ -82,6 +84,28 @@ def test_null_ids(spark):
     assert out == {(None, 1, None, True), (2**60 + 1, 1, None, False), (None, 0, None, True)}
 
 
+def test_repeated_and_null_ids_with_unlike_vectors(spark):
+    for rows in (
+        [(1, [1.0, 0.0]), (1, [0.99, 0.1])],
+        [(None, [1.0, 0.0]), (None, [0.99, 0.1])],
+        [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (3, [0.99, 0.1]), (4, [0.1, 0.99]), (4, None), (3, [0.99, 0.1])],
+    ):
+        out = result(vectors.near_duplicates(spark.createDataFrame([(i, v, 0, 0, 0) for i, v in rows], SCHEMA)).fillna(-1, ["vec_id", "component_id"]))
+        assert out == brute([(-1 if i is None else i, v) for i, v in rows])
+
+
+def test_links_of_ten_thousand_vectors(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(2500, 24))
+    rows = np.concatenate([base, *[[near(rng, v, math.acos(c)) for v, c in zip(base, rng.uniform(0.88, 1, 2500), strict=True)] for _ in range(3)]]).astype(np.float32)
+    x = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    want = np.concatenate([(x[s : s + 1000] @ x.T >= 0.9).sum(axis=1) - 1 for s in range(0, len(x), 1000)])
+    data = spark.createDataFrame([(i, v, 0, 0, 0) for i, v in enumerate(rows.tolist())], SCHEMA)
+    out = vectors.near_duplicates(data).toPandas().sort_values("vec_id")
+    got = out["n_links"].to_numpy()
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
+
+
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert vectors.near_duplicates(empty).count() == 0

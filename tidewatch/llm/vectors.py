@@ -2,8 +2,9 @@
 
 Both halves of the unit vectors have a codebook of their own; the pairs of their centroids form a grid of cells. A vector
 is stored in its cell and looks for neighbours in the cells nearest to it, which the multi-sequence traversal yields in
-order; how many it visits is calibrated to a target recall for neighbours right at the threshold. Every pair that meets
-is verified in double precision.
+order; how many it visits is calibrated to a target recall for pairs right at the threshold. Neighbouring cells make
+blocks: a vector goes to every block it visits once, with the numbers of its cells there. Every pair that meets is
+verified in double precision.
 """
 
 from __future__ import annotations
@@ -16,17 +17,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import components, cut, forest, id_again, known_id
+from tidewatch.llm.common import components, cut, discard, forest, id_again, known_id, small
 
 THRESHOLD = 0.9
-#: Share of neighbours at the threshold that a vector's own traversal has to reach; the neighbour's traversal is a second chance.
-TARGET_RECALL = 0.995
-#: Bounds of the sample that the codebooks are fitted on, and of the calibration.
-SAMPLE, CALIBRATION = 20_000, 2_000
-#: Vectors of a cell, on average, and largest codebook: the grid has at most its square of cells.
-CELL_ROWS, MAX_CODES = 128, 256
-#: Rows of a cell that one task sets against each other.
-BLOCK = 1024
+#: Share of pairs at the threshold of which one has to visit the other's cell.
+TARGET_RECALL = 0.998
+#: Bounds of the sample that the codebooks are fitted on, about so many vectors and bytes, drawn by hash, and of the calibration.
+SAMPLE, SAMPLE_BYTES, CALIBRATION = 50_000, 64 << 20, 2_000
+#: Vectors of a cell, on average; sampled vectors of a code, at least, which bounds the grid at 2,500 x 2,500 cells.
+CELL_ROWS, CODE_ROWS = 128, 20
+#: Vectors stored in a block, on average and in one task at most, and bytes of them; rows that are set against each other in one go.
+BLOCK_ROWS, BLOCK_BYTES, STEP = 8192, 32 << 20, 1024
 
 
 def _nearest(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -45,41 +46,52 @@ def _codebook(x: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
     return codes
 
 
+def _in_line(codes: np.ndarray) -> np.ndarray:
+    """The codes in the order of their main axis, so that near ones have near numbers."""
+    centred = codes - codes.mean(axis=0)
+    return codes[np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable")] if len(codes) > 1 else codes
+
+
 class MultiIndex:
-    """Two codebooks and the number of cells a search visits."""
+    """Two codebooks, the number of cells a search visits and the block of every cell."""
 
-    def __init__(self, codes: tuple[np.ndarray, np.ndarray], visits: int):
+    def __init__(self, codes: tuple[np.ndarray, np.ndarray], visits: int, blocks: int = 1):
         self.codes, self.visits = codes, visits
+        parts = [np.arange(len(c)) * blocks // len(c) for c in codes]
+        self.block_of = (parts[0][:, None] * blocks + parts[1][None, :]).ravel()
 
     @classmethod
     def fit(cls, sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> MultiIndex:
         rng = np.random.default_rng(11)
         half = sample.shape[1] // 2
-        size = max(1, min(MAX_CODES, len(sample), math.ceil(math.sqrt(n_vectors / CELL_ROWS))))
-        codes = (_codebook(sample[:, :half], size, rng), _codebook(sample[:, half:], size, rng))
-        index = cls(codes, 1)
+        size = max(1, min(max(1, len(sample) // CODE_ROWS), math.ceil(math.sqrt(n_vectors / CELL_ROWS))))
+        codes = tuple(_in_line(_codebook(x, size, rng)) for x in (sample[:, :half], sample[:, half:]))
+        index = cls(codes, 1, max(1, math.ceil(math.sqrt(n_vectors / BLOCK_ROWS))))
         x = sample[rng.permutation(len(sample))[:CALIBRATION]]
         side = rng.normal(size=x.shape)
         side -= (side * x).sum(axis=1, keepdims=True) * x
         side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
         y = threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * side
-        d1, d2 = index._distances(x)
-        e1, e2 = (d.argmin(axis=1) for d in index._distances(y))
-        ranks = [int((a[:, None] + b[None, :] < a[i] + b[j]).sum()) + 1 for a, b, i, j in zip(d1, d2, e1, e2, strict=True)]
-        index.visits = int(np.quantile(ranks, recall, method="higher"))
+        index.visits = int(np.quantile(np.minimum(index._ranks(x, y), index._ranks(y, x)), recall, method="higher"))
         return index
 
     def _distances(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         half = len(self.codes[0][0])
         return _nearest(x[:, :half], self.codes[0]), _nearest(x[:, half:], self.codes[1])
 
-    def cells(self, x: np.ndarray) -> list[list[int]]:
+    def _ranks(self, x: np.ndarray, y: np.ndarray) -> list[int]:
+        """How many cells each x has to visit to come to that of its y."""
+        cells = [d.argmin(axis=1) for d in self._distances(y)]
+        return [int((a[:, None] + b[None, :] < a[i] + b[j]).sum()) + 1 for a, b, i, j in zip(*self._distances(x), *cells, strict=True)]
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
         """For every row the cells to visit, nearest first: its own is the first."""
-        out = []
         n2 = len(self.codes[1])
-        for a, b in zip(*self._distances(x), strict=True):
+        out = np.empty((len(x), min(self.visits, len(self.block_of))), dtype=np.int64)
+        for r, (a, b) in enumerate(zip(*self._distances(x), strict=True)):
             order1, order2 = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-            out.append([int(order1[i]) * n2 + int(order2[j]) for i, j in multi_sequence(a[order1].tolist(), b[order2].tolist(), self.visits)])
+            i, j = np.array(multi_sequence(a[order1].tolist(), b[order2].tolist(), self.visits)).T
+            out[r] = order1[i] * n2 + order2[j]
         return out
 
 
@@ -109,61 +121,63 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _visits(index: MultiIndex, width: int):
-    """(node, copies, dim, vector) -> the vector once for each cell it visits; the first visit is to its own."""
+def _visits(index: MultiIndex, width: int, kind: str):
+    """(node, copies, dim, vector) -> the vector once as stored, with all cells it visits, and once for each block it visits, with its cells there."""
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = _unit(_matrix(batch.column(3), width))
-            cells = index.cells(x)
-            packed = [v.tobytes() for v in x]
-            visited = [np.array(c, dtype="<i4").tobytes() for c in cells]
-            for s in range(0, len(x), 256):
-                part = range(s, min(s + 256, len(x)))
-                rows = np.array([(i, k) for i in part for k in range(len(cells[i]))], dtype=np.int64)
-                at = pa.array(rows[:, 0])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([cells[i][k] for i, k in rows.tolist()], pa.int32()),
-                        pa.array(rows[:, 1] == 0),
-                        batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at),
-                        pa.array(packed, pa.binary()).take(at), pa.array(visited, pa.binary()).take(at),
-                    ],
-                    names=["cell", "own", "node", "copies", "dim", "unit", "visited"],
-                )
+        for whole in batches:
+            for s in range(0, whole.num_rows, 1024):
+                batch = whole.slice(s, 1024)
+                raw = _matrix(batch.column(3), width)
+                cells = index.cells(_unit(raw)).astype("<i4")
+                packed = [v.tobytes() for v in raw.astype(kind)]
+                rows = [(i, int(index.block_of[c[0]]), True, int(c[0]), c.tobytes()) for i, c in enumerate(cells)]
+                for i, c in enumerate(cells):
+                    of = index.block_of[c]
+                    rows += [(i, b, False, int(c[0]), c[of == b].tobytes()) for b in np.unique(of).tolist()]
+                at, block, own, home, visited = zip(*rows, strict=True)
+                at = pa.array(at)
+                columns = [pa.array(block, pa.int32()), pa.array(own), pa.array(home, pa.int32()), *[batch.column(k).take(at) for k in range(3)], pa.array(packed, pa.binary()).take(at), pa.array(visited, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "own", "home", "node", "copies", "dim", "raw", "cells"])
 
     return run
 
 
-def _verified(width: int, visits: int, threshold: float):
-    """The rows of one cell and pair of blocks -> (node, linked copies, root) of every row with a link."""
+def _verified(width: int, threshold: float, kind: str):
+    """The rows of one block, or of a part of what it stores and a part of its visitors -> (node, linked copies, root) of every row with a link."""
 
     def run(table):
         own = table.column("own").to_numpy(zero_copy_only=False)
-        node, copies, dim = (table.column(c).to_numpy() for c in ("node", "copies", "dim"))
-        unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), "<f8").reshape(-1, width)
-        visited = np.frombuffer(b"".join(table.column("visited").to_pylist()), "<i4").reshape(len(node), -1)
-        side = table.column("side").to_numpy()
-        q, t = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        node, copies, dim, home = (table.column(c).to_numpy() for c in ("node", "copies", "dim", "home"))
+        unit = _unit(np.frombuffer(b"".join(table.column("raw").to_pylist()), kind).reshape(-1, width).astype(np.float64))
+        cells = [np.frombuffer(c, "<i4") for c in table.column("cells").to_pylist()]
+        stored, asking = np.flatnonzero(own), np.flatnonzero(~own)
         more = np.zeros(len(node), dtype=np.int64)
         a, b = np.empty(0, np.int64), np.empty(0, np.int64)
-        for s in range(0, len(q), BLOCK):
-            qs = q[s : s + BLOCK]
-            for u in range(0, len(t), BLOCK):
-                ts = t[u : u + BLOCK]
-                link = (unit[qs] @ unit[ts].T >= threshold) & (node[qs][:, None] != node[ts][None, :]) & (dim[qs][:, None] == dim[ts][None, :])
-                i, j = np.nonzero(link)
-                if not len(i):
-                    continue
-                more[qs] += link @ copies[ts]
-                # a target that does not visit the cell of the one that found it counts it here
-                homes, at = np.unique(visited[qs, 0], return_inverse=True)
-                back = np.stack([(visited[ts] == h).any(axis=1) for h in homes])
-                more[ts] += (link & ~back[at]).T @ copies[qs]
-                x, y = forest(node[qs[i]], node[ts[j]])
-                a, b = np.concatenate([a, x]), np.concatenate([b, y])
+        asked = np.concatenate([np.empty(0, np.int32), *[cells[i] for i in asking.tolist()]])
+        asker = np.repeat(asking, [len(cells[i]) for i in asking.tolist()])
+        order = np.argsort(asked, kind="stable")
+        asked, asker = asked[order], asker[order]
+        stored = stored[np.argsort(home[stored], kind="stable")]
+        for cell in np.unique(home[stored]).tolist():
+            t = stored[slice(*np.searchsorted(home[stored], [cell, cell + 1]))]
+            q = asker[slice(*np.searchsorted(asked, [cell, cell + 1]))]
+            for u in range(0, len(t), STEP):
+                ts = t[u : u + STEP]
+                visited = np.stack([cells[i] for i in ts.tolist()])
+                for s in range(0, len(q), STEP):
+                    qs = q[s : s + STEP]
+                    link = (unit[qs] @ unit[ts].T >= threshold) & (node[qs][:, None] != node[ts][None, :]) & (dim[qs][:, None] == dim[ts][None, :])
+                    i, j = np.nonzero(link)
+                    if not len(i):
+                        continue
+                    more[qs] += link @ copies[ts]
+                    # a stored one that does not visit the cell of the one that found it counts it here
+                    homes, at = np.unique(home[qs], return_inverse=True)
+                    back = np.stack([(visited == h).any(axis=1) for h in homes])
+                    more[ts] += (link & ~back[at]).T @ copies[qs]
+                    x, y = forest(node[qs[i]], node[ts[j]])
+                    a, b = np.concatenate([a, x]), np.concatenate([b, y])
         a, b = forest(a, b)
         root = dict(zip(a.tolist(), b.tolist(), strict=True))
         # the same node can be here on both sides
@@ -185,38 +199,49 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     or hold null or non-finite components link with nothing, and neither do vectors of different length. Rows that repeat
     an id are vectors of their own; a null id is the smallest. An empty table gives an empty result. Other columns are ignored.
     """
-    vector = F.col(vector_col).cast("array<double>")
-    rows = cut(vectors.select(known_id(id_col).alias("vec_id"), vector.alias("vector")), "vectors")
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"
+    vector = F.col(vector_col).cast("array<float>" if kind == "<f4" else "array<double>")
+    rows = cut(vectors.select(known_id(id_col).alias("vec_id"), vector.alias("vector")), "vectors", narrow=False)
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = rows.where(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0)).withColumn("key", F.xxhash64("vector"))
-    distinct = cut(good.groupBy("key", "vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "distinct-vectors")
+    is_good = F.coalesce(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0), F.lit(False))
+    good = rows.where(is_good).withColumn("key", F.xxhash64("vector"))
+    distinct = good.groupBy("key", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    # a number of its own for each distinct vector, fixed by writing it
+    distinct = cut(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct-vectors", narrow=False)
     n, width = distinct.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     none = F.lit(0).cast("long")
     if not n:
         return rows.select(id_again("vec_id"), none.alias("n_links"), id_again("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     width += width % 2
-    sample = distinct.select("key", "vector").orderBy("key", "vector").limit(SAMPLE).toArrow()
+    share = min(1.0, min(SAMPLE, max(CALIBRATION, SAMPLE_BYTES // (8 * width))) / n)
+    drawn = distinct.where(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) < math.ceil(share * (1 << 30)))
+    sample = drawn.select("key", "vector").toArrow().sort_by("key")
+    # a few vectors can have none among the drawn
+    sample = sample if len(sample) else distinct.select("key", "vector").limit(1).toArrow()
     index = MultiIndex.fit(_unit(_matrix(sample.column("vector"), width)), n, threshold)
 
     visits = distinct.select("node", "copies", F.size("vector").alias("dim"), "vector").mapInArrow(
-        _visits(index, width), "cell int, own boolean, node long, copies long, dim int, unit binary, visited binary"
+        _visits(index, width, kind), "block int, own boolean, home int, node long, copies long, dim int, raw binary, cells binary"
     )
     visits = cut(visits, "visits", narrow=False)
-    # the grid bounds this table
-    sizes = visits.groupBy("cell").agg(F.ceil(F.count_if("own") / BLOCK).cast("int").alias("targets"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("queries"))
-    sizes = F.broadcast(sizes.where("targets > 0"))
-    split = visits.join(sizes, "cell").withColumn("salt", F.xxhash64("node", F.lit("block")))
-    asks = split.select("*", F.lit(1).alias("side"), F.expr("int(pmod(salt, queries))").alias("q"), F.explode(F.expr("sequence(0, targets - 1)")).alias("t"))
-    stored = split.where("own").select("*", F.lit(0).alias("side"), F.explode(F.expr("sequence(0, queries - 1)")).alias("q"), F.expr("int(pmod(salt, targets))").alias("t"))
+    most = max(256, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
+    sizes = visits.groupBy("block").agg(F.ceil(F.count_if("own") / (2 * most)).cast("int").alias("targets"), F.ceil(F.count_if(~F.col("own")) / (4 * most)).cast("int").alias("queries"))
+    sizes = cut(sizes.where("targets > 0"), "block-sizes")
+    split = visits.join(small(sizes, sizes.count()), "block").withColumn("salt", F.xxhash64("node", F.lit("block")))
+    asks = split.where("NOT own").select("*", F.expr("int(pmod(salt, queries))").alias("q"), F.explode(F.expr("sequence(0, targets - 1)")).alias("t"))
+    stored = split.where("own").select("*", F.explode(F.expr("sequence(0, queries - 1)")).alias("q"), F.expr("int(pmod(salt, targets))").alias("t"))
     met = asks.unionByName(stored).drop("salt", "targets", "queries")
-    found = cut(met.groupBy("cell", "q", "t").applyInArrow(_verified(width, index.visits, threshold), "node long, links long, root long"), "vector-links")
+    found = cut(met.groupBy("block", "q", "t").applyInArrow(_verified(width, threshold, kind), "node long, links long, root long"), "vector-links")
+    discard(visits, sizes)
 
     roots = components(found.where("node <> root").select("node", "root"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = distinct.join(links, "node", "left").join(roots, "node", "left")
-    classes = cut(classes.select("key", "vector", "node", (F.coalesce("links", none) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id")), "vector-classes")
-    keyed = good.join(classes, ["key", "vector"], "left").select("vec_id", "n_links", "component_id")
-    bad = rows.where(~F.coalesce(F.col("vector").isNotNull() & finite & F.exists("vector", lambda x: x != 0), F.lit(False)))
-    alone = bad.select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"))
+    classes = classes.select("key", "vector", "least", (F.coalesce("links", none) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"))
+    classes = cut(classes, "vector-classes", narrow=False)
+    names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = classes.join(names, "root").select("key", "vector", "n_links", "component_id")
+    keyed = good.join(classes, ["key", "vector"]).select("vec_id", "n_links", "component_id")
+    alone = rows.where(~is_good).select("vec_id", none.alias("n_links"), F.col("vec_id").alias("component_id"))
     out = keyed.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
     return out.select(id_again("vec_id"), "n_links", id_again("component_id"), "kept")
