@@ -1,11 +1,15 @@
+import http.server
+import itertools
 import json
 import random
+import threading
+import time
 
 import pytest
 
 from tests.test_gate import SCHEMA, T0, trade
 from tidewatch.functions import codec
-from tidewatch.sources import broker, feeds, files, registry
+from tidewatch.sources import broker, feeds, files, live, registry
 
 
 def test_round_trip(spark):
@@ -78,10 +82,68 @@ def test_live_feed_reconnects():
             raise OSError("down")
         return Connection(['{"a": 1}', "no json", "[1]", '{"b": 2}'])
 
-    got = list(feeds.messages(feeds.CoinbaseFeed(), ["BTC-USD"], connect, lambda: len(opened) > 3, waits.append, feeds.Backoff(draw=lambda: 1.0)))
+    got = list(feeds.messages(feeds.CoinbaseFeed(), ["BTC-USD"], connect, lambda: len(opened) > 3, waits.append, lambda: feeds.waits(draw=lambda: 1.0)))
     assert [t for _, t in got] == ['{"a": 1}', '{"b": 2}'] * 2 and len(sent) == 3 and waits == [1.0, 1.0 * 2, 1.0][: len(waits)]
-    b = feeds.Backoff(draw=lambda: 0.0)
-    assert [b.next() for _ in range(8)] == [0.5, 1, 2, 4, 8, 16, 30, 30]
+    assert list(itertools.islice(feeds.waits(draw=lambda: 0.0), 8)) == [0.5, 1, 2, 4, 8, 16, 30, 30]
+
+
+class Dropped(Exception):
+    """As a websocket client raises it: no OSError."""
+
+
+def test_two_venues_at_once_with_an_abnormal_close():
+    lines, opened, closed, both = [], [], [], threading.Barrier(2, timeout=10)
+
+    class Connection:
+        def __init__(self, url):
+            self.url = url
+
+        def send(self, text):
+            json.loads(text)
+
+        def __iter__(self):
+            if opened.count(self.url) == 1:
+                both.wait()  # neither venue waits for the other to end
+                yield '{"n": 1}'
+                raise Dropped
+            yield '{"n": 2}'
+            done[self.url] = True
+
+        def close(self):
+            closed.append(self.url)
+
+    def connect(url):
+        opened.append(url)
+        return Connection(url)
+
+    done = {}
+    counts = feeds.record(["coinbase", "kraken"], ["BTC-USD"], connect, lambda: len(done) == 2 and len(lines) >= 4, lines.append, lambda _: time.sleep(0.01), (OSError, Dropped))
+    assert counts["coinbase"] >= 2 and counts["kraken"] >= 2 and len(closed) >= 2
+    assert {(r["feed"], r["raw"]) for r in map(json.loads, lines)} == {(f, f'{{"n": {n}}}') for f in ("coinbase", "kraken") for n in (1, 2)}
+    with pytest.raises(Dropped):
+        opened.clear()
+        feeds.record(["coinbase", "kraken"], ["BTC-USD"], connect, lambda: False, lines.append, lambda _: None)
+
+
+def test_buffer_is_bounded_and_tells_of_its_end():
+    taken = []
+
+    def source():
+        for k in range(5):
+            taken.append(k)
+            yield k, str(k)
+
+    buffer = live.MessageBuffer(source, capacity=2)
+    time.sleep(0.3)
+    assert len(taken) == 3 and buffer.between(0) == ([("0", 0), ("1", 1)], 2)
+    buffer.forget(2)
+    time.sleep(0.3)
+    assert buffer.between(2) == ([("2", 2), ("3", 3)], 4)
+    buffer.forget(4)
+    time.sleep(0.3)
+    assert buffer.between(4)[0] == [("4", 4)]
+    with pytest.raises(RuntimeError):
+        buffer.between(5)
 
 
 def test_files(spark, tmp_path):
@@ -111,52 +173,54 @@ def test_backward_compatibility(monkeypatch):
     assert len(registry.backward_problems(new, old)) == 1
     old["fields"][3] = {"name": "price", "type": "int"}
     assert registry.backward_problems(new, old) == []
-    calls = []
-    client = registry.SchemaRegistry("http://host/")
-    monkeypatch.setattr(client, "_call", lambda *a: calls.append(a) or {"id": 3, "is_compatible": True})
-    assert registry.ensure_registered(client) == 3 and client.compatible() and client.url == "http://host" and len(calls) == 3
 
 
-def test_live_reader_repeats_uncommitted_rows():
-    import threading
-    import time
+def test_registry():
+    calls, answers = [], []
 
-    from tidewatch.sources.live import VenueReader
+    def send(method, path, body):
+        calls.append((method, path))
+        found = answers.pop(0)
+        if isinstance(found, Exception):
+            raise found
+        return found
 
-    more = threading.Event()
+    pauses = []
+    answers[:] = [(503, {}), OSError("down"), (200, {}), (200, {"id": 3})]
+    assert registry.publish_contract(send, pause=pauses.append) == 3 and pauses == [0.5, 2.0]
+    assert calls[-2:] == [("PUT", "/config/trades.raw-value"), ("POST", "/subjects/trades.raw-value/versions")]
+    answers[:] = [(200, {"is_compatible": False, "messages": ["price"]}), (404, {}), (422, {"message": "no schema"})]
+    assert registry.verdict(send) == registry.Verdict(False, False, ("price",)) and registry.verdict(send).first
+    with pytest.raises(registry.RegistryError):
+        registry.verdict(send)
 
-    class Connection:
-        def send(self, text):
+
+def test_registry_over_http():
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def answer(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            known = {"/config/trades.raw-value": body, "/subjects/trades.raw-value/versions": {"id": 7}}
+            self.send_response(200 if self.path in known else 404)
+            self.end_headers()
+            self.wfile.write(json.dumps(known.get(self.path, {"error_code": 40401})).encode())
+
+        do_PUT = do_POST = answer
+
+        def log_message(self, *a):
             pass
 
-        def __iter__(self):
-            yield from ('{"k": 1}', '{"k": 2}')
-            more.wait()
-            yield '{"k": 3}'
-            threading.Event().wait()
-
-    reader = VenueReader({"feed": "coinbase"}, lambda url: Connection())
-    deadline = time.monotonic() + 10
-    while reader.buffer.next < 2 and time.monotonic() < deadline:
-        time.sleep(0.01)
-    rows, end = reader.read(reader.initialOffset())
-    first = list(rows)
-    assert [r[0] for r in first] == ['{"k": 1}', '{"k": 2}'] and end == {"n": 2}
-    assert list(reader.readBetweenOffsets({"n": 0}, end)) == first
-    reader.commit(end)
-    more.set()
-    while reader.buffer.next < 3 and time.monotonic() < deadline:
-        time.sleep(0.01)
-    rows, end = reader.read(end)
-    assert [r[0] for r in rows] == ['{"k": 3}'] and end == {"n": 3} and reader.buffer.first == 2
-
-
-def test_verified_trades(spark, tmp_path):
-    from tidewatch.functions.digests import content_digest
-
-    df = spark.createDataFrame([trade(i) for i in range(3)], SCHEMA)
-    files.write_trades(df, str(tmp_path / "t"))
-    pin = content_digest(r.asDict() for r in df.orderBy("seq").collect())
-    assert files.verified_trades(spark, str(tmp_path / "t"), pin).count() == 3
-    with pytest.raises(ValueError):
-        files.verified_trades(spark, str(tmp_path / "t"), "0")
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    send = registry.service(f"http://127.0.0.1:{server.server_port}/")
+    assert registry.publish_contract(send) == 7 and registry.verdict(send) == registry.Verdict(True, True)
+    server.shutdown()
+
+
+def test_pins(spark, tmp_path):
+    path, pins = str(tmp_path / "t"), tmp_path / "fixtures.yaml"
+    files.write_trades(spark.createDataFrame([trade(i) for i in range(5)], SCHEMA), path)
+    pinned = files.pin_fixture(spark, path, pins, 42)
+    assert pinned["rows"] == 5 and files.pinned_trades(spark, pins).count() == 5
+    pins.write_text(json.dumps(pinned | {"sha256": "0"}))
+    with pytest.raises(ValueError, match="sha256"):
+        files.pinned_trades(spark, pins)

@@ -72,3 +72,11 @@ def test_commands(spark, tmp_path, capsys):
     assert cli.main(["quarantine", "ls", "--path", out]) == 0
     key = capsys.readouterr().out.split()[0]
     assert cli.main(["quarantine", "show", "--path", out, "--key", key]) == 0 and cli.main(["quarantine", "show", "--path", out, "--key", "none"]) == 1
+    assert cli.main(["gate", "--input", frames, "--output", f"{out}-first", "--max-messages", "7"]) == 0
+    assert spark.read.parquet(f"{out}-first/telemetry").selectExpr("sum(count)").first()[0] == 7
+    # bars of what passed, from the gate's folder; the newest minutes stay open
+    assert cli.main(["bars", "--valid", out, "--output", str(tmp_path / "live"), "--delay", "1 millisecond"]) == 0
+    assert 0 < spark.read.parquet(str(tmp_path / "live")).count() and cli.main(["bars"]) == 2
+    pins = str(tmp_path / "fixtures.yaml")
+    assert cli.main(["fixture", "generate", "--path", path, "--rows", "100", "--pins", pins]) == 0 and cli.main(["fixture", "verify", "--pins", pins]) == 0
+    assert cli.main(["metrics", "--pins", pins]) == 0

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import codec, digests
 from tidewatch.operators import bars, faultlab, gate, grade, profile, publish, slo
 from tidewatch.operators.config import Rules
-from tidewatch.sources import feeds, files
-from tidewatch.sources.registry import SchemaRegistry, ensure_registered
+from tidewatch.sources import feeds, files, registry
 
 
 def _spark() -> SparkSession:
@@ -33,56 +32,92 @@ def contract(args) -> int:
     if args.action == "show":
         print(codec.canonical_schema())
         return 0
-    registry = SchemaRegistry(args.registry)
+    send = registry.service(args.registry)
     if args.action == "register":
-        print(ensure_registered(registry))
+        print(registry.publish_contract(send))
         return 0
-    ok = registry.compatible()
-    print("compatible" if ok else "incompatible")
-    return 0 if ok else 1
+    found = registry.verdict(send)
+    print("\n".join(["compatible" if found.fits else "incompatible", *found.against]))
+    return 0 if found.fits else 1
+
+
+FRAMES = "key binary, value binary, partition int, offset long"
 
 
 def run_gate(args) -> int:
-    """Frames in a folder of Parquet files (key, value, partition, offset), or a topic, to the output folder."""
+    """Frames in a folder of Parquet files (key, value, partition, offset), or a topic, to the output folder, and to the topics of what passes and what doesn't.
+
+    With --max-messages a folder's first so many frames, by partition and offset, or so many of a topic's.
+    """
     from tidewatch.sources import broker
     from tidewatch.streaming import gate_stream
 
     spark = _spark()
+    path, publish = args.input, None
+    if args.max_messages is not None:
+        every = broker.read_batch(spark, args.servers) if args.servers else spark.read.schema(FRAMES).parquet(args.input)
+        path = files.scratch(spark, "frames")
+        every.select("key", "value", "partition", "offset").orderBy("partition", "offset").limit(args.max_messages).write.parquet(path)
     if args.servers:
+        publish = lambda rows, topic: broker.write_batch(rows, args.servers, topic)
+    if args.servers and args.max_messages is None:
         frames = broker.read_stream(spark, args.servers)
     else:
         limit = {"maxFilesPerTrigger": args.max_files} if args.max_files else {}
-        frames = spark.readStream.schema("key binary, value binary, partition int, offset long").options(**limit).parquet(args.input)
-    gate_stream.start(frames, args.output, f"{args.output}/_checkpoint", _rules(args), args.gates_off).awaitTermination()
+        frames = spark.readStream.schema(FRAMES).options(**limit).parquet(path)
+    gate_stream.start(frames, args.output, f"{args.output}/_checkpoint", _rules(args), args.gates_off, publish=publish).awaitTermination()
     counts = spark.read.parquet(f"{args.output}/telemetry").groupBy("disposition", "rule_id").agg(F.sum("count").alias("n"))
     _show({f"{r['disposition']}:{r['rule_id'] or ''}": r["n"] for r in counts.collect()})
     return 0
 
 
 def run_bars(args) -> int:
+    """Bars of clean trades, through the gate; with --valid of what the gate let pass, as a stream that goes on where it stopped."""
     spark = _spark()
+    table = files.BarTable(spark, args.output)
+    if args.valid or args.servers:
+        from tidewatch.sources import broker
+        from tidewatch.streaming import bars_stream
+
+        frames = broker.read_stream(spark, args.servers, broker.VALID) if args.servers else spark.readStream.schema(FRAMES).parquet(f"{args.valid}/valid")
+        passed = codec.decode_frames(frames).where(~F.col("malformed")).withColumn("seq", F.col("offset"))
+        bars_stream.start(passed, table, f"{args.output}/_checkpoint", args.delay).awaitTermination()
+        print(table.count())
+        return 0
+    if not args.input:
+        print("--input, --valid or --servers is needed", file=sys.stderr)
+        return 2
     trades = files.read_trades(spark, args.input)
     verdicts = gate.evaluate(trades, _rules(args), divergences=False)
     made = bars.gates_off(verdicts) if args.gates_off else bars.gates_on(verdicts)
-    table = files.BarTable(spark, args.output)
     table.append(made)
     print(table.count())
     return 0
 
 
 def fixture(args) -> int:
+    """Generate the clean fixture and pin it, or verify one against its pins or a digest."""
     spark = _spark()
-    if args.action == "generate":
-        files.write_trades(faultlab.clean_fixture(spark, args.rows, args.seed), args.path)
-    rows = files.read_trades(spark, args.path).orderBy("seq").toLocalIterator()
-    found = digests.content_digest(r.asDict() for r in rows)
-    print(found)
-    return 0 if args.action == "generate" or found == args.content_sha256 else 1
+    if args.action == "verify":
+        try:
+            files.pinned_trades(spark, args.pins) if args.pins else files.verified_trades(spark, args.path, args.content_sha256, args.parquet_sha256)
+        except ValueError as wrong:
+            print(wrong, file=sys.stderr)
+            return 1
+        return 0
+    files.write_trades(faultlab.clean_fixture(spark, args.rows, args.seed), args.path)
+    if args.pins:
+        print(files.pin_fixture(spark, args.path, args.pins, args.seed)["content_sha256"])
+    else:
+        print(digests.content_digest(r.asDict() for r in files.read_trades(spark, args.path).orderBy("seq").toLocalIterator()))
+    return 0
 
 
 def _faulted(args, spark):
     rules = _rules(args)
-    if args.path and args.content_sha256:
+    if args.pins:
+        clean = files.pinned_trades(spark, args.pins)
+    elif args.path and args.content_sha256:
         clean = files.verified_trades(spark, args.path, args.content_sha256)
     else:
         clean = files.read_trades(spark, args.path) if args.path else faultlab.clean_fixture(spark, args.rows, args.seed)
@@ -135,26 +170,30 @@ def sanity(args) -> int:
 
 
 def capture(args) -> int:
-    """Live messages of the chosen feeds into a capture folder; needs a websocket client."""
+    """Live messages of the chosen feeds, received at once, into a capture folder; needs a websocket client."""
+    import time
+    from datetime import UTC, datetime
+
+    from tidewatch.sources.live import websocket
+
     try:
-        from websockets.sync.client import connect
+        connect, lost = websocket()
     except ImportError:
         print("the live feeds need the websockets package", file=sys.stderr)
         return 2
-    import time
-    from datetime import UTC, datetime
-
     spark = _spark()
-    end = time.monotonic() + args.duration
     folder = Path(args.root) / datetime.now(UTC).strftime("%Y%m%dT%H%M%SZ")
     folder.mkdir(parents=True)
-    stream = folder / "stream.jsonl"
+    stream, received = folder / "stream.jsonl", folder / "received.jsonl"
+    end = time.monotonic() + args.duration
+    with received.open("w") as out:
+        print(feeds.record(args.feeds, args.symbols, connect, lambda: time.monotonic() > end, out.write, lost=lost))
+    raw = spark.read.schema("feed string, raw string, ts_ingest long").json(str(received))
     with stream.open("w") as out:
         for name in args.feeds:
-            feed = feeds.FEEDS[name]()
-            rows = [(text, at) for at, text in feeds.messages(feed, args.symbols, connect, lambda: time.monotonic() > end)]
-            for r in feeds.captured(spark.createDataFrame(rows, "raw string, ts_ingest long"), feed, args.symbols).toLocalIterator():
+            for r in feeds.captured(raw.where(F.col("feed") == name).drop("feed"), feeds.FEEDS[name](), args.symbols).toLocalIterator():
                 out.write(json.dumps({"raw": r["raw"], "norm": r["norm"].asDict()}) + "\n")
+    received.unlink()
     trades = files.read_capture(spark, str(stream))
     document = files.capture_manifest(trades, stream, args.duration, args.symbols, datetime.now(UTC).isoformat(timespec="seconds"), files.sha256_file(stream))
     (folder / "manifest.json").write_text(json.dumps(document, indent=2, sort_keys=True))
@@ -162,22 +201,39 @@ def capture(args) -> int:
     return 0
 
 
+def _until(stop, running: dict, seconds: float) -> None:
+    """Wait for the time to pass, a signal or the end of a query; then stop them all and print how many rows each has taken."""
+    import time
+
+    end = time.monotonic() + seconds
+    while time.monotonic() < end and not stop.is_set() and all(q.isActive for q in running.values()):
+        stop.wait(min(0.5, max(0.0, end - time.monotonic())))
+    for name, q in running.items():
+        taken = sum(p["numInputRows"] for p in q.recentProgress)
+        why = q.exception()
+        q.stop()
+        print(name, taken, why or "")
+
+
 def ingest(args) -> int:
     """Live feeds, or the records of a capture, to the raw topic, or to a folder of frames where there is no broker."""
     from tidewatch.sources import broker
 
     if not args.input:
+        import signal
+        import threading
+
         from tidewatch.sources.live import live_trades
 
-        ensure_registered(SchemaRegistry(args.registry))
-        running = []
+        stop = threading.Event()
+        for s in (signal.SIGINT, signal.SIGTERM):
+            signal.signal(s, lambda *_: stop.set())
+        registry.publish_contract(registry.service(args.registry))
+        running = {}
         for name in args.feeds:
             writer = broker.frames_of(live_trades(_spark(), name, args.symbols)).writeStream.option("checkpointLocation", f"{args.output}/_checkpoint/{name}")
-            running.append(writer.format("kafka").options(**broker.write_options(args.servers, broker.RAW)).start() if args.servers else writer.format("parquet").start(args.output))
-        for q in running:
-            q.awaitTermination(int(args.duration))
-            print(q.name or q.id, (q.lastProgress or {}).get("numInputRows", 0))
-            q.stop()
+            running[name] = writer.format("kafka").options(**broker.write_options(args.servers, broker.RAW)).start() if args.servers else writer.format("parquet").start(args.output)
+        _until(stop, running, args.duration)
         return 0
     frames = broker.frames_of(files.read_capture(_spark(), args.input))
     if args.servers:
@@ -218,17 +274,18 @@ def parser() -> argparse.ArgumentParser:
         p.set_defaults(handler=handler)
 
     rules = ("--rules", {"help": "YAML file of the rules; the contract's by default"})
+    pinned = ("--pins", {"help": "file of the fixture's digests"})
     pins = [("--content-sha256", {"default": "", "help": "digest the fixture must have"}), ("--parquet-sha256", {"default": ""})]
-    source = [("--path", {"help": "clean trades; generated by default"}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), rules, pins[0]]
+    source = [("--path", {"help": "clean trades; generated by default"}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), rules, pins[0], pinned]
     servers = ("--servers", {"help": "broker addresses"})
     command("contract", contract, ("--registry", {"default": "http://localhost:8081"}), actions=("register", "check", "show"))
     live = [("--feeds", {"nargs": "+", "default": sorted(feeds.FEEDS)}), ("--symbols", {"nargs": "+", "default": ["BTC-USD", "ETH-USD"]}), ("--duration", {"type": float, "default": 300.0})]
     command("ingest", ingest, ("--input", {"help": "a capture; live feeds if left out"}), ("--output", {"default": "frames"}), ("--registry", {"default": "http://localhost:8081"}), servers, *live)
     command("capture", capture, ("--root", {"default": "captures"}), *live)
     command("sanity", sanity, ("--root", {"default": "captures"}), ("--capture", {}), ("--min", {"nargs": "*", "default": [], "help": "venue=count"}))
-    command("gate", run_gate, ("--input", {"default": "frames"}), ("--output", {"default": "gated"}), ("--gates-off", {"action": "store_true"}), ("--max-files", {"type": int}), rules, servers)
-    command("bars", run_bars, ("--input", {"required": True}), ("--output", {"default": "bars"}), ("--gates-off", {"action": "store_true"}), rules)
-    command("fixture", fixture, ("--path", {"required": True}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), pins[0], actions=("generate", "verify"))
+    command("gate", run_gate, ("--input", {"default": "frames"}), ("--output", {"default": "gated"}), ("--gates-off", {"action": "store_true"}), ("--max-files", {"type": int}), ("--max-messages", {"type": int}), rules, servers)
+    command("bars", run_bars, ("--input", {"help": "clean trades"}), ("--valid", {"help": "output folder of the gate"}), ("--delay", {"default": "1 minute"}), ("--output", {"default": "bars"}), ("--gates-off", {"action": "store_true"}), rules, servers)
+    command("fixture", fixture, ("--path", {"default": "fixture"}), ("--rows", {"type": int, "default": faultlab.ROWS}), ("--seed", {"type": int, "default": faultlab.SEED}), *pins, pinned, actions=("generate", "verify"))
     command("slo", run_slo, *source)
     command("metrics", metrics, *source)
     command("export", export, *source, pins[1], ("--output", {"default": "site"}), ("--profile", {"default": "local"}))

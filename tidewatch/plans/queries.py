@@ -120,6 +120,44 @@ def codec_round_trip(spark, d):
     return codec.decode_frames(frames).drop("value", "decode_error")
 
 
+def _spoilt(spark, d):
+    """Frames of all trades, every seventh of them spoilt in one of four ways: no frame, another first byte, cut in the body, cut in the header."""
+    frames = codec.encode_frames(trades(spark, d)).select("seq", "value")
+    size = F.octet_length("value")
+    ways = [F.lit(b""), F.concat(F.lit(b"\x01"), F.substring("value", F.lit(2), size)), F.substring("value", F.lit(1), size - 1), F.substring("value", F.lit(1), F.lit(3))]
+    spoilt = F.get(F.array(*ways), (F.expr("seq div 7") % 4).cast("int"))
+    return codec.decode_frames(frames.withColumn("value", F.when(F.col("seq") % 7 == 0, spoilt).otherwise(F.col("value"))))
+
+
+#: The rules' SQL over the trades that are left when every seventh frame is spoilt.
+_WHOLE = SQL.replace("WITH trades AS", "WITH every_trade AS", 1).replace("FROM events),\n", "FROM events),\ntrades AS (SELECT * FROM every_trade WHERE seq % 7 <> 0),\n", 1)
+
+
+@query(SQL + "SELECT seq, seq % 7 = 0 AS malformed, CASE WHEN seq % 7 <> 0 THEN symbol END AS symbol, CASE WHEN seq % 7 <> 0 THEN price END AS price, CASE WHEN seq % 7 <> 0 THEN ts_event END AS ts_event FROM trades")
+def r1_malformed(spark, d):
+    return _spoilt(spark, d).select("seq", "malformed", "symbol", "price", "ts_event")
+
+
+@query(_WHOLE + """SELECT seq, disposition, rule_id, reason, r5 AS has_gap, r6 AS has_divergence FROM verdicts
+    UNION ALL SELECT seq, 'quarantine', 'R1', 'malformed', false, false FROM every_trade WHERE seq % 7 = 0""")
+def verdicts_of_frames(spark, d):
+    has = lambda r: F.exists("alerts", lambda a: a["rule_id"] == r)
+    return gate.evaluate(_spoilt(spark, d), RULES).select("seq", "disposition", "rule_id", "reason", has("R5").alias("has_gap"), has("R6").alias("has_divergence"))
+
+
+@query(_WHOLE + """SELECT count(*) FILTER (disposition = 'valid') AS n_valid, (SELECT count(*) FROM every_trade WHERE seq % 7 = 0) AS quarantined_r1, count(*) FILTER (rule_id = 'R2') AS quarantined_r2,
+    count(*) FILTER (rule_id = 'R3') AS quarantined_r3, count(*) FILTER (rule_id = 'R4') AS quarantined_r4, count(*) FILTER (r5) AS gap_alerts,
+    count(*) FILTER (r6) AS divergence_alerts, count(*) FILTER (stale_coinbase) AS stale_coinbase, count(*) FILTER (stale_kraken) AS stale_kraken FROM verdicts""")
+def telemetry_of_frames(spark, d):
+    return gate.telemetry(gate.evaluate(_spoilt(spark, d), RULES), RULES)
+
+
+@query(_WHOLE + "SELECT 'valid' AS route, count(*) AS n FROM verdicts")
+def routes_of_frames_gates_off(spark, d):
+    """What doesn't decode is dropped when the gates are off."""
+    return gate.routed(gate.evaluate(_spoilt(spark, d), RULES), gates_off=True).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'n/a (n=0)' ELSE printf('%.4f [%.4f, %.4f]', value / 7, value / 9, value / 11) END AS shown FROM events")
 def estimate_format(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
@@ -134,11 +172,11 @@ def r2_range(spark, d):
     return trades(spark, d).select("seq", gate.range_failure(RULES).isNotNull().alias("r2"))
 
 
-@query(SQL + "SELECT t.seq, CASE WHEN price BETWEEN b.lo AND b.hi THEN 'inside' ELSE 'outside' END AS place FROM trades t JOIN (VALUES ('S0', 1000, 1030), ('S1', 1000, 1030)) b(symbol, lo, hi) USING (symbol)")
+@query(SQL + "SELECT t.seq, CASE WHEN b.lo IS NULL THEN 'unchecked' WHEN price BETWEEN b.lo AND b.hi THEN 'inside' ELSE 'outside' END AS place FROM trades t LEFT JOIN (VALUES ('S0', 1000, 1030), ('S1', 1000, 1030)) b(symbol, lo, hi) USING (symbol)")
 def bounds_lookup_join(spark, d):
     bounds = spark.createDataFrame([(s, *b) for s, b in RULES.symbol_bounds.items() if s != "S2"], "symbol string, lo double, hi double")
-    joined = trades(spark, d).join(F.broadcast(bounds), "symbol")
-    return joined.select("seq", F.when(F.col("price").between(F.col("lo"), F.col("hi")), "inside").otherwise("outside").alias("place"))
+    joined = trades(spark, d).join(F.broadcast(bounds), "symbol", "left")
+    return joined.select("seq", F.when(F.col("lo").isNull(), "unchecked").when(F.col("price").between(F.col("lo"), F.col("hi")), "inside").otherwise("outside").alias("place"))
 
 
 @query(SQL + "SELECT seq, r3 AS duplicate FROM seen")
@@ -376,17 +414,15 @@ def running_sum_in_stretches(spark, d):
 
 @query()
 def fixture_clean(spark, d):
-    return faultlab.clean_fixture(spark, 300)
+    """The fixture in its full size; it reads no table."""
+    return faultlab.clean_fixture(spark)
 
 
 @query()
 def fixture_faulted_verdicts(spark, d):
-    """Injected frames through codec, gate and grade, on a small fixture with a small window."""
-    from tidewatch.operators.config import Rules
-
-    rules = Rules(dedup_window=100)
-    faulted = faultlab.inject(faultlab.clean_fixture(spark, 300), rules)
-    return grade.labelled(gate.evaluate(faultlab.trades_of(faulted), rules), faultlab.manifest_of(faulted))
+    """The fixture in its full size, injected, through codec, gate and grade; it reads no table."""
+    faulted = faultlab.inject(faultlab.clean_fixture(spark))
+    return grade.labelled(gate.evaluate(faultlab.trades_of(faulted)), faultlab.manifest_of(faulted))
 
 
 @query()

@@ -18,43 +18,61 @@ from tidewatch.sources.feeds import FEEDS, messages
 SCHEMA = "raw string, ts_ingest long"
 
 
-def _websocket(url: str) -> Iterable[str]:
+#: Messages that wait on the driver for a batch, at most; beyond that nothing is received until batches are committed.
+CAPACITY = 1_000_000
+
+
+def websocket() -> tuple[Callable[[str], Iterable[str]], tuple[type[BaseException], ...]]:
+    """What opens a connection, and the exceptions by which one is lost; ImportError without a websocket client."""
+    from websockets.exceptions import WebSocketException
     from websockets.sync.client import connect
 
-    return connect(url)
+    return connect, (OSError, WebSocketException)
 
 
 class MessageBuffer:
-    """Messages numbered in the order of receipt, filled by a thread of its own."""
+    """Messages numbered in the order of receipt, filled by a thread of its own, which waits while the buffer is full."""
 
-    def __init__(self, source: Callable[[], Iterator[tuple[int, str]]]):
+    def __init__(self, source: Callable[[], Iterator[tuple[int, str]]], capacity: int = CAPACITY):
         self.rows: deque[tuple[str, int]] = deque()
         self.first = self.next = 0
-        self.lock = threading.Lock()
+        self.capacity = capacity
+        self.ended: BaseException | None = None
+        self.changed = threading.Condition()
         threading.Thread(target=self._fill, args=(source,), daemon=True).start()
 
     def _fill(self, source) -> None:
-        for at, text in source():
-            with self.lock:
-                self.rows.append((text, at))
-                self.next += 1
+        try:
+            for at, text in source():
+                with self.changed:
+                    self.changed.wait_for(lambda: len(self.rows) < self.capacity)
+                    self.rows.append((text, at))
+                    self.next += 1
+            raise EOFError("the feed has ended")
+        except BaseException as why:  # noqa: BLE001
+            self.ended = why
 
     def between(self, start: int, end: int | None = None) -> tuple[list[tuple[str, int]], int]:
-        with self.lock:
+        """The rows from ``start`` on; once they are used up, RuntimeError if nothing more will come."""
+        with self.changed:
             end = self.next if end is None else end
+            if self.ended is not None and start >= self.next:
+                raise RuntimeError("the feed's thread has died") from self.ended
             return [self.rows[k - self.first] for k in range(max(start, self.first), min(end, self.next))], end
 
     def forget(self, end: int) -> None:
-        with self.lock:
+        with self.changed:
             while self.first < min(end, self.next):
                 self.rows.popleft()
                 self.first += 1
+            self.changed.notify_all()
 
 
 class VenueReader(SimpleDataSourceStreamReader):
-    def __init__(self, options: dict[str, str], connect: Callable[[str], Iterable[str]] = _websocket):
+    def __init__(self, options: dict[str, str], client=websocket):
         feed, symbols = FEEDS[options["feed"]](), options.get("symbols", "BTC-USD,ETH-USD").split(",")
-        self.buffer = MessageBuffer(lambda: messages(feed, symbols, connect, lambda: False))
+        connect, lost = client()
+        self.buffer = MessageBuffer(lambda: messages(feed, symbols, connect, lambda: False, lost=lost))
 
     def initialOffset(self) -> dict:
         return {"n": 0}
