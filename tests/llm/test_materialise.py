@@ -54,6 +54,25 @@ def test_exact_round_trip(spark, tokenizer):
     assert round_trip(spark, tokenizer, rows, 64, 32) == {i: t or "" for i, t in enumerate(texts)}
 
 
+def test_slots_equal_a_plain_assignment(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, "", "ab" * rng.randrange(60)]), 0, 0, "f") for _ in range(90)] + [(7, "twice " * 9, 0, 0, "f")] * 2 + [(None, "x" * 30_000, 0, 0, "f")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    keys = {(r["doc_id"], r["t"]): r["k"] for r in docs.selectExpr("doc_id", "coalesce(text, '') AS t", "xxhash64(coalesce(string(doc_id), 'null'), coalesce(text, '')) AS k").collect()}
+    size, key = 16, 5
+    plain = []
+    for i, t, *_ in sorted(rows, key=lambda r: keys[r[0], r[1] or ""]):
+        tokens = [*(t or "").encode(), 256]
+        plain += [(i, k // size, len(tokens[k : k + size]), (tokens[k : k + size] + [256] * size)[:size]) for k in range(0, len(tokens), size)]
+    want = dict(zip(materialise.permute(np.arange(len(plain)), len(plain), key).tolist(), plain, strict=True))
+    for parts in (1, 5):
+        got = {}
+        for r in materialise.materialise(docs.repartition(parts), None, key, size, 8).collect():
+            data = np.frombuffer(r["payload"], "<u2").reshape(-1, size).tolist()
+            got |= {r["first_slot"] + k: x for k, x in enumerate(zip(r["doc_ids"], r["seqs"], r["n_tokens"], data, strict=True))}
+        assert got == want
+
+
 def test_repeated_rows_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "same", 0, 0, "f")] * 3, SCHEMA)
     assert materialise.materialise(docs).first()["n_rows"] == 3

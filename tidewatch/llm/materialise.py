@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,16 +96,17 @@ def permute(values: np.ndarray, n: int, key: int, inverse: bool = False) -> np.n
 
 
 def _sequences(tokenizer, size: int):
-    """(doc_id, text) -> (doc_id, seq, n_tokens, tokens): the text's tokens and an end token, cut into records of ``size`` tokens."""
+    """(doc_id, key, text) -> (doc_id, key, seq, n_tokens, tokens): the text's tokens and an end token, cut into compressed records of ``size`` tokens."""
 
     def run(batches):
+        compressor = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rows, room = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 tokens = np.append(tokenizer.encode(text.as_py()), np.uint16(tokenizer.end)).astype("<u2")
                 for k in range(0, len(tokens), size):
                     part = tokens[k : k + size]
-                    rows.append((doc_id, k // size, len(part), part.tobytes() + np.full(size - len(part), tokenizer.end, dtype="<u2").tobytes()))
+                    rows.append((doc_id, key, k // size, len(part), compressor.compress(part.tobytes())))
                     room += 2 * size
                     if room >= 4 << 20:
                         yield _batch(rows)
@@ -113,8 +115,8 @@ def _sequences(tokenizer, size: int):
                 yield _batch(rows)
 
     def _batch(rows):
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "seq", "n_tokens", "tokens"])
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "key", "seq", "n_tokens", "tokens"])
 
     return run
 
@@ -128,21 +130,35 @@ def _slots(n: int, key: int, rows: int):
     return run
 
 
-def _shard(rows: int, size: int):
-    def run(key, table):
-        table = table.sort_by("slot")
-        first = key[0].as_py() * rows
-        slots = table.column("slot").to_numpy()
-        if not np.array_equal(slots, np.arange(first, first + len(slots))):
-            raise ValueError(f"shard {key[0].as_py()} does not hold its slots once each")
-        one = lambda c, kind: pa.array([table.column(c).to_pylist()], pa.list_(kind))
-        return pa.table(
-            {
-                "shard": pa.array([key[0].as_py()], pa.int64()), "first_slot": pa.array([first], pa.int64()), "n_rows": pa.array([len(slots)], pa.int32()),
-                "stride": pa.array([2 * size], pa.int32()), "doc_ids": one("doc_id", pa.int64()), "seqs": one("seq", pa.int32()), "n_tokens": one("n_tokens", pa.int32()),
-                "payload": pa.array([b"".join(table.column("tokens").to_pylist())], pa.binary()),
-            }
-        )
+def _shards(n: int, rows: int, size: int, end: int):
+    """Rows in the order of their slots -> a row for each shard."""
+
+    def row(shard: int, doc_ids, seqs, n_tokens, payload: bytearray):
+        one = lambda c, kind: pa.array([c], pa.list_(kind))
+        columns = {
+            "shard": pa.array([shard], pa.int64()), "first_slot": pa.array([shard * rows], pa.int64()), "n_rows": pa.array([len(seqs)], pa.int32()), "stride": pa.array([2 * size], pa.int32()),
+            "doc_ids": one(doc_ids, pa.int64()), "seqs": one(seqs, pa.int32()), "n_tokens": one(n_tokens, pa.int32()), "payload": pa.array([bytes(payload)], pa.binary()),
+        }
+        return pa.RecordBatch.from_pydict(columns)
+
+    def run(batches):
+        decompressor = zstandard.ZstdDecompressor()
+        padding = np.full(size, end, dtype="<u2").tobytes()
+        doc_ids, seqs, counts, payload, expected = [], [], [], bytearray(), None
+        for batch in batches:
+            for slot, doc_id, seq, count, tokens in zip(*(batch.column(c).to_pylist() for c in ("slot", "doc_id", "seq", "n_tokens", "tokens")), strict=True):
+                if slot != (slot - slot % rows if not seqs else expected):
+                    raise ValueError(f"slot {slot} where {expected} was due")
+                doc_ids.append(doc_id)
+                seqs.append(seq)
+                counts.append(count)
+                payload += decompressor.decompress(tokens) + padding[2 * count :]
+                expected = slot + 1
+                if expected % rows == 0 or expected == n:
+                    yield row(slot // rows, doc_ids, seqs, counts, payload)
+                    doc_ids, seqs, counts, payload = [], [], [], bytearray()
+        if seqs:
+            raise ValueError(f"slot {expected} is missing")
 
     return run
 
@@ -159,28 +175,37 @@ def materialise(
     Returns one row for each shard: shard, first_slot, n_rows, stride (bytes of a record), doc_ids, seqs and n_tokens of
     its records, payload (n_rows records of little-endian 16-bit tokens). All shards but the last have ``shard_rows``
     records. Null and empty texts are one end token; rows that repeat an id are laid out each. An empty table gives no
-    shard. Other columns are ignored.
+    shard. Other columns are ignored. ``tokenizer`` is bytes by default.
 
-    Sequences are numbered by their place in the staged token table, which is written once in the shared folder: order of
-    files, then rows. A lost executor repeats neither the tokens nor the numbers.
+    Sequences are numbered by their documents, in the order of a 64-bit hash of id and text, then by place in the text. So the order depends on the documents and ``key`` alone, however they are stored, and a rerun continues an
+    earlier reader. Documents are sorted by ranges of that hash, tokenised once and staged in the shared folder; then
+    every range of slots is sorted and written by one task.
     """
     if min(sequence_tokens, shard_rows) < 1:
         raise ValueError("sequence_tokens and shard_rows must be at least 1")
+    spark = docs.sparkSession
     tokenizer = tokenizer or ByteTokenizer()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    with batches_of(docs.sparkSession, 1000):
-        staged = cut(rows.mapInArrow(_sequences(tokenizer, sequence_tokens), "doc_id long, seq int, n_tokens int, tokens binary"), "tokens", narrow=False)
-    files = staged.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    # rows alike in both are interchangeable: a salt lets them be split over tasks
+    rows = rows.select("doc_id", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").alias("key"), "text", F.pmod(F.monotonically_increasing_id(), F.lit(1024)).alias("salt"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    ordered = rows.repartitionByRange(parts, "key", "doc_id", "salt").sortWithinPartitions("key", "doc_id", "salt").select("doc_id", "key", "text")
+    with batches_of(spark, 1000):
+        staged = cut(ordered.mapInArrow(_sequences(tokenizer, sequence_tokens), "doc_id long, key long, seq int, n_tokens int, tokens binary"), "tokens", narrow=False)
+    files = staged.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("from"))
     files = cut(files, "token-files")
     n_files, n = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     if not n:
-        return docs.sparkSession.createDataFrame([], _SHARDS)
-    # one row for each file
-    starts = files.selectExpr("file", "sum(n) OVER (ORDER BY file) - n AS start")
+        return spark.createDataFrame([], _SHARDS)
+    # one row for each file, which holds a range of keys in order
+    starts = files.selectExpr("file", "sum(n) OVER (ORDER BY from, file) - n AS start")
     placed = staged.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).join(small(starts, n_files), "file")
     numbered = placed.select((F.col("start") + F.col("at")).alias("number"), "doc_id", "seq", "n_tokens", "tokens")
     slotted = numbered.mapInArrow(_slots(n, key, shard_rows), "shard long, slot long, doc_id long, seq int, n_tokens int, tokens binary")
-    return slotted.groupBy("shard").applyInArrow(_shard(shard_rows, sequence_tokens), _SHARDS)
+    n_shards = -(-n // shard_rows)
+    ranges = min(parts, n_shards)
+    ranged = slotted.repartitionById(ranges, F.expr(f"int(shard * {ranges} div {n_shards})")).sortWithinPartitions("slot")
+    return ranged.mapInArrow(_shards(n, shard_rows, sequence_tokens, tokenizer.end), _SHARDS)
 
 
 def read(shards: DataFrame, from_slot: int = 0, shard_rows: int = SHARD_ROWS) -> Iterator[tuple[int, np.ndarray]]:

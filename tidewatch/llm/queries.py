@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +55,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), [1.0] * 8)
 
 
-def op8_materialise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the public vocabulary where it is installed, and bytes as tokens where it is not."""
-    known = Path(VOCABULARY).exists()
-    return materialise.materialise(_table(spark, sf_dir, "documents"), materialise.RankTokenizer.from_file(VOCABULARY) if known else None)
+def op8_materialise(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """With the public vocabulary in the file ``vocabulary``, which the driver reads; without it this fails."""
+    return materialise.materialise(_table(spark, sf_dir, "documents"), materialise.RankTokenizer.from_file(vocabulary))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
