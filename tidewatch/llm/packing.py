@@ -23,8 +23,10 @@ def word_tokens(text: str | Column) -> Column:
 def best_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
     """At most ``buckets`` upper bounds, ascending, that minimise the padding of the histogram; the last is its largest length.
 
-    best[k][j] is the least padding of the lengths up to j in k buckets; the last bucket then holds those after some i
-    and pads them to length j. Of equal solutions the one of fewest buckets, then of smallest bounds, is taken.
+    In each round best[j] is the least padding of the lengths up to j in k buckets; the last bucket holds those after some
+    i and pads them to length j. The best i never falls as j grows, so each half of the j needs only a part of the i: n
+    lengths take n log n steps a round and memory in proportion to n. Of equal solutions the one of fewest buckets, then
+    of the smallest i, is taken.
     """
     order = np.argsort(lengths, kind="stable")
     size = np.asarray(lengths, dtype=np.int64)[order]
@@ -33,18 +35,30 @@ def best_boundaries(lengths: Sequence[int], counts: Sequence[int], buckets: int)
     n = len(size)
     if n == 0:
         return []
-    # pad[i, j]: lengths i+1 .. j+1 (counted from 1) in one bucket
-    pad = size[None, :] * (rows[None, 1:] - rows[:-1, None]) - (tokens[None, 1:] - tokens[:-1, None])
-    far = np.iinfo(np.int64).max // 4
-    pad[np.tril_indices(n, -1)] = far
-    best = pad[0].copy()
-    came = [np.zeros(n, dtype=np.int64)]
-    totals = [best[-1]]
-    for _ in range(1, min(buckets, n)):
-        through = np.concatenate([[far], best[:-1]])[:, None] + pad
-        came.append(through.argmin(axis=0))
-        best = np.minimum(through.min(axis=0), far)
-        totals.append(best[-1])
+
+    def padding(i: np.ndarray, j: int) -> np.ndarray:
+        """Of the lengths after the first i, up to and with number j (from 0), in one bucket."""
+        return size[j] * (rows[j + 1] - rows[i]) - (tokens[j + 1] - tokens[i])
+
+    best = np.array([int(padding(np.zeros(1, np.int64), j)[0]) for j in range(n)], dtype=np.int64)
+    came, totals = [np.zeros(n, dtype=np.int64)], [int(best[-1])]
+    for k in range(1, min(buckets, n)):
+        last = best
+        best, choice = np.full(n, np.iinfo(np.int64).max // 4, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        # k buckets before need k lengths at least
+        todo = [(k, n - 1, k, n - 1)]
+        while todo:
+            low, high, least, most = todo.pop()
+            if low > high:
+                continue
+            j = (low + high) // 2
+            i = np.arange(least, min(most, j) + 1)
+            through = last[i - 1] + padding(i, j)
+            at = int(through.argmin())
+            best[j], choice[j] = through[at], i[at]
+            todo += [(low, j - 1, least, int(i[at])), (j + 1, high, int(i[at]), most)]
+        came.append(choice)
+        totals.append(int(best[-1]))
     k = int(np.argmin(totals))
     bounds, j = [], n - 1
     while k >= 0:

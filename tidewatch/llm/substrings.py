@@ -322,9 +322,8 @@ def merge(runs: list[list[bytes]], common: list[list[int]]) -> tuple[list[tuple[
             return (a, ha, b, hb) if ha > hb else (b, hb, a, ha)
         if ha < 0:
             return a, ha, b, hb
-        x, y = head[a], head[b]
-        bits = int.from_bytes(x[ha:]) ^ int.from_bytes(y[ha:])
-        seen = len(x) - (bits.bit_length() + 7) // 8
+        x, y = int.from_bytes(head[a][ha:]), int.from_bytes(head[b][ha:])
+        seen = len(head[a]) - ((x ^ y).bit_length() + 7) // 8
         return (a, ha, b, seen) if x <= y else (b, hb, a, seen)
 
     nodes = [(r, 0 if head[r] is not None else -1) for r in range(size)]
@@ -474,7 +473,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
 
     Returns doc_id, n_bytes, removed (array of start, end in bytes: the maximal runs) and kept (the other bytes). A string
     starts earlier if its document has a smaller id, or in the same document at an earlier byte; rows that repeat an id
-    are documents of their own, in the order of their texts. Null texts are empty, null ids come before all others. An empty table
+    are documents of their own, in the order of their texts (rows of one id make one chunk). Null texts are empty, null ids come before all others. An empty table
     gives an empty result. Other columns are ignored.
     """
     if not 2 <= length <= 200:
