@@ -1,8 +1,10 @@
+import math
 import pickle
 import random
 import zlib
 
 import pytest
+import zstandard
 
 from tidewatch.llm import toxicity
 
@@ -75,3 +77,29 @@ def test_words_that_ordinary_texts_hold_too_but_rarely(spark):
     hit = [model.score(t) >= 0.5 for _, t, y in held if y]
     wrong = [model.score(t) >= 0.5 for _, t, y in held if not y]
     assert len(hit) >= 10 and sum(hit) / len(hit) >= 0.9 and sum(wrong) / len(wrong) <= 0.02, (sum(hit), len(hit), sum(wrong), len(wrong))
+
+
+def test_scores_equal_plain_compression(spark, corpus):
+    model = toxicity.fit([t for _, t, _ in corpus[:200]], [y for *_, y in corpus[:200]])
+    lengths = []
+    for content in (model.dictionaries.ordinary, model.dictionaries.toxic):
+        params = zstandard.ZstdCompressionParameters.from_level(
+            -1, min_match=5, strategy=zstandard.STRATEGY_FAST, target_length=1, window_log=16, hash_log=16, chain_log=16, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        # a dictionary that is digested anew for each window
+        lengths.append(lambda w, c=content, p=params: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(c, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=p).compress(w)))
+
+    def plain(text):
+        t = toxicity.normalise(text)
+        s = []
+        for i in range(0, max(1, len(t)), 256):
+            w = model.dictionaries.ordinary[-64:] + t[i : i + 272]
+            s.append(lengths[0](w) - lengths[1](w))
+        up, n, top = [max(x, 0) for x in s], max(1.0, len(t) / 256), sorted(s)[-3:]
+        x = [math.log1p(sum(up)), math.log1p(sum(v >= 2 for v in s)), math.log1p(sum(v >= 4 for v in s)), min(top[-1], 8), sum(top) / len(top), sum(up) / n, sum(v >= 3 for v in s) / n, sum(s) / len(s), sum(v < 0 for v in s) / len(s)]
+        return 1 / (1 + math.exp(-(sum((a - m) / d * w for a, m, d, w in zip(x, model.mean, model.scale, model.weights, strict=False)) + model.weights[-1])))
+
+    rows = [(i, t) for i, t, _ in corpus[200:240]] + [(900, None), (901, ""), (902, "grubbish " * 900), (903, "é😀 x")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert all(abs(got[i] - plain(t)) < 1e-9 for i, t in rows) and len({round(v, 3) for v in got.values()}) > 5

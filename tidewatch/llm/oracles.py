@@ -48,21 +48,21 @@ _KEYWORDS = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][
 _PREFIX = rf"(?:{_KEYWORDS})[\"'']?\x20*[:=]\x20*[\"'']?"
 
 
-def _found(kind: str, rank: int, pattern: str, rest: str) -> str:
-    return f"""
-    SELECT rid, '{kind}' AS kind, {rank} AS rank, g + m AS start, g + m + length(x) AS stop FROM (
-        SELECT rid, ms[i] AS x, list_sum(list_transform(gs[1:i], lambda s: length(s)))::BIGINT AS g,
-               coalesce(list_sum(list_transform(ms[1:i - 1], lambda s: length(s))), 0)::BIGINT AS m
-        FROM (SELECT rid, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
-            SELECT rid, regexp_extract_all(body, '{pattern}') AS ms, string_split_regex(body, '{pattern}') AS gs FROM doc)))
-    WHERE {rest}"""
-
+_VALUE = "[A-Za-z0-9+/_.=-]+"
 
+# Each step searches what is left of the text after the match before it.
 OP9 = f"""
-WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
-found AS ({_found("assign", 0, _PREFIX + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(x, '^{_PREFIX}', '')) >= 12")} UNION ALL
-          {_found("access", 1, "AKIA[A-Z0-9]+", "length(x) >= 18")} UNION ALL
-          {_found("hex", 2, "[0-9a-f]+", "length(x) >= 16")}),
+WITH RECURSIVE doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+matched AS (
+    SELECT rid, rank, body AS rest, 0::BIGINT AS done, 0::BIGINT AS start, '' AS hit, '' AS value FROM doc, (VALUES (0), (1), (2)) r(rank)
+    UNION ALL
+    SELECT rid, rank, substr(rest, strpos(rest, m) + length(m)), done + strpos(rest, m) - 1 + length(m), done + strpos(rest, m) - 1, m,
+           CASE rank WHEN 0 THEN regexp_extract(rest, '{_PREFIX}({_VALUE})', 1) ELSE m END
+    FROM (SELECT *, CASE rank WHEN 0 THEN regexp_extract(rest, '{_PREFIX}{_VALUE}') WHEN 1 THEN regexp_extract(rest, 'AKIA[A-Z0-9]+') ELSE regexp_extract(rest, '[0-9a-f]+') END AS m FROM matched)
+    WHERE m <> ''),
+found AS (
+    SELECT rid, rank, ['assign', 'access', 'hex'][rank + 1] AS kind, start, start + length(hit) AS stop FROM matched
+    WHERE hit <> '' AND length(value) >= [12, 18, 16][rank + 1]),
 listed AS (
     SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
            string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
@@ -72,6 +72,43 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM doc LEFT JOIN listed USING (rid)
 """
 
+# Every pair of lengths in every round; of equal solutions the fewest buckets, then the smallest place of the cut.
+OP5 = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS n FROM documents),
+pieces AS (SELECT doc_id, p::INTEGER AS piece, (p * 2048)::BIGINT AS first_token, least(n - p * 2048, 2048)::INTEGER AS n_tokens FROM (SELECT doc_id, n, unnest(range((n - 1) // 2048 + 1)) AS p FROM doc)),
+histogram AS (SELECT n_tokens AS size, count(*) AS c, row_number() OVER (ORDER BY n_tokens) AS j FROM pieces GROUP BY n_tokens),
+summed AS (SELECT j, size, (sum(c) OVER (ORDER BY j))::BIGINT AS n, (sum(c * size) OVER (ORDER BY j))::BIGINT AS tokens FROM histogram),
+rounds(k, j, m) AS (
+    SELECT 1, j, {'cost': size * n - tokens, 'i': 0::BIGINT} FROM summed
+    UNION ALL
+    SELECT r.k + 1, b.j, min({'cost': r.m.cost + b.size * (b.n - a.n) - (b.tokens - a.tokens), 'i': a.j})
+    FROM rounds r JOIN summed a ON a.j = r.j JOIN summed b ON b.j > a.j WHERE r.k < 16 GROUP BY r.k, b.j),
+best AS (SELECT k, j, m.i AS i FROM rounds WHERE j = (SELECT max(j) FROM summed) ORDER BY m.cost, k LIMIT 1),
+chosen(k, j, i) AS (SELECT k, j, i FROM best UNION ALL SELECT r.k, r.j, r.m.i FROM chosen c JOIN rounds r ON r.k = c.k - 1 AND r.j = c.i),
+buckets AS (SELECT (row_number() OVER (ORDER BY size) - 1)::INTEGER AS bucket, size::INTEGER AS boundary, coalesce(lag(size) OVER (ORDER BY size), 0) AS above FROM chosen JOIN summed USING (j)),
+placed AS (
+    SELECT p.*, bucket, boundary, row_number() OVER (PARTITION BY bucket ORDER BY md5(doc_id::VARCHAR || ':' || piece::VARCHAR), doc_id, piece, n_tokens) - 1 AS place, greatest(1, 65536 // boundary) AS n_rows
+    FROM pieces p JOIN buckets ON n_tokens > above AND n_tokens <= boundary)
+SELECT doc_id, piece, first_token, n_tokens, bucket, boundary, (place // n_rows)::BIGINT AS batch, (place % n_rows)::INTEGER AS row FROM placed
+"""
+
+# Texts as hex digits, two for each byte.
+OP1 = """
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+win AS (SELECT rid, doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS w FROM (SELECT rid, doc_id, h, unnest(range(n - 99)) AS s FROM doc)),
+again AS (SELECT rid, s FROM (SELECT rid, s, row_number() OVER (PARTITION BY w ORDER BY doc_id, rid, s) AS k FROM win) WHERE k > 1),
+begun AS (SELECT rid, s, (s > coalesce(lag(s) OVER (PARTITION BY rid ORDER BY s), -101) + 100)::BIGINT AS new FROM again),
+numbered AS (SELECT rid, s, sum(new) OVER (PARTITION BY rid ORDER BY s) AS run FROM begun),
+span AS (SELECT rid, min(s) AS start, max(s) + 100 AS stop FROM numbered GROUP BY rid, run),
+gap AS (SELECT rid, start, stop, coalesce(lag(stop) OVER (PARTITION BY rid ORDER BY start), 0) AS before FROM span),
+cut AS (
+    SELECT rid, count(*) AS n_spans, sum(stop - start) AS n_removed, max(stop) AS last, string_agg(substr(h, 2 * before + 1, 2 * (start - before)), '' ORDER BY start) AS kept
+    FROM gap JOIN doc USING (rid) GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN cut USING (rid)
+"""
+
 OP2 = """
 WITH RECURSIVE
 sized AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
@@ -86,4 +123,4 @@ SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id)::BIGINT AS n_links,
 FROM embeddings
 """
 
-ORACLES: dict[str, str] = {"op2_embeddings": OP2, "op4_decontamination": OP4, "op7_sharding": OP7, "op9_secrets": OP9}
+ORACLES: dict[str, str] = {"op1_substrings": OP1, "op2_embeddings": OP2, "op4_decontamination": OP4, "op5_packing": OP5, "op7_sharding": OP7, "op9_secrets": OP9}

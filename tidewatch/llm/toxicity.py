@@ -2,7 +2,9 @@
 
 Each dictionary is trained on one class: it holds the segments that cover its examples and that the other class lacks,
 and both end with the same slice of ordinary text, so that what is common to both classes costs the same. A window is compressed with each (fast parse, literals stored raw, so that a
-match saves whole bytes); what the toxic dictionary saves over all windows of a text is calibrated by a logistic model.
+match saves whole bytes); what the toxic dictionary saves over all windows of a text is calibrated by a logistic model,
+which sees differences of compressed lengths and nothing else. Segments are chosen here, not by the library's trainer: that
+looks for what is common within a class, and most of that is common to both.
 """
 
 from __future__ import annotations
@@ -165,7 +167,7 @@ class Dictionaries:
         k = max(1.0, len(text) / WINDOW)
         return [
             np.log1p(up.sum()), np.log1p((s >= 2).sum()), np.log1p((s >= 4).sum()), min(float(top[-1]), 8.0), float(top.mean()), up.sum() / k,
-            (s >= 3).sum() / k, float(s.mean()), np.log1p(len(text)), float((s < 0).mean()),
+            (s >= 3).sum() / k, float(s.mean()), float((s < 0).mean()),
         ]
 
 
@@ -278,5 +280,8 @@ def _below(model: Model, at: int):
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text scores 0.5 or more; all columns stay as they are."""
+    """``docs`` without the rows whose text scores 0.5 or more; all columns stay as they are.
+
+    Whole texts count, a null one as an empty one; rows that repeat an id or a text are judged each. An empty table stays empty.
+    """
     return docs.mapInArrow(_below(model, docs.columns.index(text_col)), docs.schema)
