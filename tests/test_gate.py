@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions.codec import NAMES, RECORD
-from tidewatch.operators import gate
+from tidewatch.operators import dedup, gate
 from tidewatch.operators.config import RULE_IDS, Rules
 
 SCHEMA = "seq long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RECORD)
@@ -184,3 +184,16 @@ def test_rules_document():
     rules[5]["on_violation"] = "quarantine"
     with pytest.raises(ValueError):
         Rules.from_dict({"rules": rules})
+
+
+def test_ids_that_repeat_nearby_need_no_replay(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [trade(k, trade_id=str(k - rng.randrange(0, 7))) for k in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {r["seq"]: r["duplicate"] for r in dedup.mark_fifo(df, ["exchange", "symbol"], 8).collect()}
+    assert dedup.reach(df, ["exchange", "symbol"])[1] < 8 < dedup.reach(df, ["exchange", "symbol"])[0]
+    monkeypatch.setattr(dedup, "mark_fifo", None)
+    assert {r["seq"]: r["duplicate"] for r in dedup.mark_duplicates(df, ["exchange", "symbol"], 8).collect()} == want
+    monkeypatch.undo()
+    far = spark.createDataFrame([trade(k, trade_id=str(k % 20)) for k in range(60)], SCHEMA)
+    assert dedup.mark_duplicates(far, ["exchange", "symbol"], 8).where("duplicate").count() == 0

@@ -1,9 +1,9 @@
 """Rule R3: a trade id that is among the last N ids inserted for its stream is a duplicate.
 
 The window is first-in first-out: a hit neither moves nor renews an id. Where no stream has more than N distinct ids
-nothing is ever evicted, and a row is a duplicate exactly when it is not the first of its id. Beyond that the rule is
-recursive, since an evicted id that returns is inserted anew; then every stream is replayed in order with a window of
-N ids as its only state.
+nothing is ever evicted; where every id's rows lie within N numbers of the order, fewer than N ids come between them. In
+both cases a row is a duplicate exactly when it is not the first of its id. Beyond that the rule is recursive, since an
+evicted id that returns is inserted anew; then every stream is replayed in order with a window of N ids as its only state.
 """
 
 from __future__ import annotations
@@ -76,16 +76,21 @@ def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "
     return lined.mapInArrow(_replay([cols.index(k) for k in keys], cols.index(id_col), cols.index(among) if among else None, window, out), schema)
 
 
-def most_ids(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id") -> int:
-    """Distinct ids of the stream that has most."""
-    return rows.groupBy(*keys).agg(F.count_distinct(id_col).alias("n")).agg(F.max("n")).first()[0] or 0
+def reach(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order: str = "seq") -> tuple[int, int | None]:
+    """Distinct ids of the stream that has most, and the largest distance between two rows of an id where ``order`` counts in whole numbers."""
+    whole = isinstance(rows.schema[order].dataType, T.IntegralType)
+    span = (F.max(order) - F.min(order)) if whole else F.lit(None)
+    each = rows.groupBy(*keys, id_col).agg(span.cast("long").alias("span"))
+    ids, farthest = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("ids"), F.max("span").alias("span")).agg(F.max("ids"), F.max("span")).first()
+    return ids or 0, farthest
 
 
 def mark_duplicates(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
-    """Take the closed form where it is exact, as a count decides, and the general form elsewhere.
+    """Take the closed form where it is exact, as ``reach`` decides, and the general form elsewhere.
 
     ``among`` names a boolean column: only rows where it is true count, others are never duplicates.
     """
-    if most_ids(rows.where(F.col(among)) if among else rows, keys, id_col) <= window:
+    ids, farthest = reach(rows.where(F.col(among)) if among else rows, keys, id_col, order)
+    if ids <= window or (farthest is not None and farthest < window):
         return mark_first_seen(rows, keys, id_col, order, out, among)
     return mark_fifo(rows, keys, window, id_col, order, out, among)
