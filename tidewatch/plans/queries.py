@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import codec, scalars
 from tidewatch.operators import bars, dedup, faultlab, gate, grade, profile, slo
 from tidewatch.operators.windows import running
-from tidewatch.plans.trades import RULES, SQL, lineitem_trades, manifest, sql_bars, trades
+from tidewatch.plans.trades import LINEITEM_SQL, RULES, SQL, lineitem_trades, manifest, sql_bars, trades
 from tidewatch.sources import feeds, files
 from tidewatch.streaming import gate_stream
 
@@ -425,7 +425,7 @@ def fixture_faulted_verdicts(spark, d):
     return grade.labelled(gate.evaluate(faultlab.trades_of(faulted)), faultlab.manifest_of(faulted))
 
 
-@query()
+@query(LINEITEM_SQL + sql_bars("accepted"))
 def lineitem_gate_bars(spark, d):
     """The measured workload: six streams beyond the window's size, through the gate into bars."""
     return bars.gates_on(gate.evaluate(lineitem_trades(spark, d), divergences=False))

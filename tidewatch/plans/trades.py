@@ -47,10 +47,11 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as a trade feed of six streams, for measuring: ids repeat, and each stream holds more than a window of them."""
-    cols = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus"]
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"]
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols)
     # repeated keys differ in other columns, which make the order of arrival unique
-    jitter = F.pmod(F.xxhash64(*cols), F.lit(1 << 20))
+    whole = [F.col(c).cast("string") for c in cols[:4]] + [F.round(F.col(c) * 100).cast("long").cast("string") for c in cols[4:6]]
+    jitter = F.conv(F.substring(F.md5(F.concat_ws("|", *whole).cast("binary")), 1, 5), 16, 10).cast("long")
     at = F.lit(1_700_000_000_000) + F.col("l_orderkey") * 400
     return line.select(
         ((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long") * (1 << 20) + jitter).alias("seq"), F.col("l_returnflag").alias("exchange"), F.col("l_linestatus").alias("symbol"),
@@ -119,3 +120,15 @@ def sql_bars(source: str, tainted: str = "false") -> str:
            first(price ORDER BY ts_event DESC, trade_id DESC, seq) AS bar_close,
            sum(round_even(size * 1000000, 0)::BIGINT)::BIGINT / 1000000::DOUBLE AS volume, count(*)::BIGINT AS trade_count, count(*) FILTER ({tainted})::BIGINT AS tainted
     FROM {source} GROUP BY 1, 2, 3"""
+
+
+#: The same feed, and the rules on it up to what they accept. Rows of an id follow each other, so the first of them is no duplicate and the others are.
+LINEITEM_SQL = """
+WITH jittered AS (
+    SELECT *, ('0x' || md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 100)::BIGINT, round(l_quantity * 100)::BIGINT))[1:5])::BIGINT AS jitter FROM lineitem),
+trades AS (
+    SELECT (l_orderkey * 8 + l_linenumber) * 1048576 + jitter AS seq, l_returnflag AS exchange, l_linestatus AS symbol, l_orderkey || '-' || l_linenumber AS trade_id,
+           l_extendedprice::DOUBLE AS price, l_quantity::DOUBLE AS size, 1700000000000 + l_orderkey * 400 + jitter % 6000 AS ts_event
+    FROM jittered),
+ranged AS (SELECT *, coalesce(NOT (price > 0) OR NOT (size > 0), true) AS r2 FROM trades),
+""" + SQL[SQL.index("seen AS (") : SQL.index(",\nprinted AS (")]
