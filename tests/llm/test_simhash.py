@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from tidewatch.llm import simhash
@@ -107,6 +108,14 @@ def test_an_id_that_repeats_keeps_what_its_texts_deserve(spark):
     assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(docs).collect()) == [(0, "a b c d e"), (1, "quite other words here")]
 
 
+@pytest.mark.parametrize("by", [simhash.classes, simhash.similar])
+def test_no_two_equal_texts_stay(spark, by):
+    same, other = "one two three four five six seven", "quite other words are here as well"
+    rows = [(1, same, "x", "y"), (1, same, "x", "z"), (None, same, "x", "y"), (None, same, "x", "y"), (None, other, "p", None), (None, other, "q", None), (4, other, "x", "y"), (5, None, "x", "y"), (6, "", "x", "y"), (6, " ", "x", "y")]
+    out = simhash.keep_one(spark.createDataFrame(rows, SCHEMA), by=by).collect()
+    assert sorted((r["doc_id"] or 0, (r["text"] or "").strip()) for r in out) == [(0, same), (0, other), (5, "")]
+
+
 def test_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e", "x", None), (2**60 + 1, "a b c d e", None, "y"), (2**60, "other words here now", "x", "y")], SCHEMA)
     out = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}

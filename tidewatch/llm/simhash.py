@@ -479,7 +479,7 @@ def _keys(bits: int, keys: int):
 
 
 def similar(docs: DataFrame, words: int = SIMILAR_WORDS, seed: int = SEED, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, component_id) of every row, NO_ID for null: classes of documents linked by sets of shingles of similarity 0.8 or more.
+    """(doc_id, text_key, root, component_id) of every row, NO_ID for null: classes of documents linked by sets of shingles of similarity 0.8 or more.
 
     Candidates come from fingerprints of the distinct shingles: those of 64 * PARTS bits meet under the keys of
     ``key_plan`` and are compared in bit planes, then over all parts; of a candidate pair the sets themselves are
@@ -528,17 +528,17 @@ def similar(docs: DataFrame, words: int = SIMILAR_WORDS, seed: int = SEED, block
     discard(links, more, labelled)
     grouped = distinct.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.select("doc_id", "text_key", "node").join(grouped.select("node", "root").join(names, "root"), "node").select("doc_id", "text_key", "component_id")
+    return prints.select("doc_id", "text_key", "node").join(grouped.select("node", "root").join(names, "root"), "node").select("doc_id", "text_key", "root", "component_id")
 
 
 def classes(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of every row, NO_ID for null. Nodes are fingerprints, whatever the ids of their documents."""
+    """(doc_id, text_key, fp, root, component_id) of every row, NO_ID for null. Nodes are fingerprints, whatever the ids of their documents; classes of one name differ in root."""
     prints = cut(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(link_fingerprints(distinct.select(F.col("fp").alias("node"), "fp"), radius))
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(grouped.select("fp", "root").join(names, "root").select("fp", "component_id"), "fp", "left")
+    return prints.join(grouped.select("fp", "root").join(names, "root"), "fp")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -559,9 +559,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by
     Of rows alike in both, which may differ in other columns, one stays. ``by`` makes the classes: ``classes`` (the
     default) or ``similar``. Null, empty and blank texts are one class. An empty table stays empty; all columns stay.
     """
-    found = cut((by or classes)(docs, id_col=id_col, text_col=text_col, **options).groupBy("component_id", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")), "class-rows")
-    best = found.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("best"))
-    judged = found.join(best, "component_id").withColumn("stays", F.struct("doc_id", "text_key") == F.col("best"))
+    found = cut((by or classes)(docs, id_col=id_col, text_col=text_col, **options).groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")), "class-rows")
+    # a plain table on this side, so that the rows of a class that very many share can be split over tasks
+    best = cut(found.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("best")), "class-best")
+    judged = found.join(best, "root").withColumn("stays", F.struct("doc_id", "text_key") == F.col("best"))
     other = cut(judged.where("NOT stays OR n > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "stays"), "removed-rows")
     gone, again = (r for r in (other.where("NOT stays").drop("stays"), other.where("stays").drop("stays")))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), known_id(id_col).alias("_id"), _text_key(text_col).alias("_key"))
