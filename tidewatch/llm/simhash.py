@@ -31,7 +31,7 @@ CHECK_PLANES = (8, 16, 24, 40)
 SIMILAR_WORDS, SIMILARITY, PARTS = 5, 0.8, 4
 FIRST_RADIUS, ALL_RADIUS = 22, 64
 #: Keys under which similar sets meet: rows of a key, on average; the share of bits that differ, for which MISSED of the pairs share no key.
-KEY_ROWS, DIFFERING, MISSED = 256, 0.17, 0.001
+KEY_ROWS, DIFFERING, MISSED = 64, 0.17, 0.001
 MIN_KEY_BITS, MAX_KEY_BITS = 6, 30
 #: Bytes of a batch of shingle sets; sets, and their shingles, that a task holds against as many others.
 SET_BYTES = 4 << 20
