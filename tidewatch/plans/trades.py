@@ -50,8 +50,8 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag", "l_linestatus"]
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols)
     # repeated keys differ in other columns, which make the order of arrival unique
-    whole = [F.col(c).cast("string") for c in cols[:4]] + [F.round(F.col(c) * 100).cast("long").cast("string") for c in cols[4:6]]
-    jitter = F.conv(F.substring(F.md5(F.concat_ws("|", *whole).cast("binary")), 1, 5), 16, 10).cast("long")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    jitter = (F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104_729 + F.col("l_quantity").cast("long") * 1009 + cents) % (1 << 20)
     at = F.lit(1_700_000_000_000) + F.col("l_orderkey") * 400
     return line.select(
         ((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long") * (1 << 20) + jitter).alias("seq"), F.col("l_returnflag").alias("exchange"), F.col("l_linestatus").alias("symbol"),
@@ -125,7 +125,7 @@ def sql_bars(source: str, tainted: str = "false") -> str:
 #: The same feed, and the rules on it up to what they accept. Rows of an id follow each other, so the first of them is no duplicate and the others are.
 LINEITEM_SQL = """
 WITH jittered AS (
-    SELECT *, ('0x' || md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice * 100)::BIGINT, round(l_quantity * 100)::BIGINT))[1:5])::BIGINT AS jitter FROM lineitem),
+    SELECT *, (l_partkey * 7919 + l_suppkey * 104729 + trunc(l_quantity)::BIGINT * 1009 + round(l_extendedprice * 100)::BIGINT) % 1048576 AS jitter FROM lineitem),
 trades AS (
     SELECT (l_orderkey * 8 + l_linenumber) * 1048576 + jitter AS seq, l_returnflag AS exchange, l_linestatus AS symbol, l_orderkey || '-' || l_linenumber AS trade_id,
            l_extendedprice::DOUBLE AS price, l_quantity::DOUBLE AS size, 1700000000000 + l_orderkey * 400 + jitter % 6000 AS ts_event
