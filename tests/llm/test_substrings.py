@@ -1,6 +1,8 @@
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewatch.llm import substrings
@@ -95,3 +97,26 @@ def test_empty_table(spark):
     assert substrings.remove_repeats(docs).count() == 0
     with pytest.raises(ValueError):
         substrings.remove_repeats(docs, 1)
+
+
+def test_repeated_fingerprints_take_no_longer_in_more_chunks():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 18, 1 << 18).astype(np.uint64)
+
+    def run(chunks):
+        parts = [np.unique(p) for p in np.array_split(prints, chunks)]
+        table = pa.table({"chunk": list(range(chunks)), "payload": pa.array([substrings._joined(p, np.ones(len(p), np.int64)) for p in parts], pa.binary())})
+        began = time.process_time()
+        out = substrings._repeated(4)((pa.scalar(7),), table)
+        took = time.process_time() - began
+        every, n = np.unique(np.concatenate(parts), return_counts=True)
+        times = dict(zip(every.tolist(), n.tolist(), strict=True))
+        known = {c: substrings._split(p) for c, p in zip(out["chunk"].to_pylist(), out["payload"].to_pylist(), strict=True)}
+        for c, p in enumerate(parts):
+            wanted = [(x, int(times[x] >= 4)) for x in p.tolist() if times[x] > 1]
+            assert wanted == list(zip(*(x.tolist() for x in known[c]), strict=True))
+        assert set(out["bucket"].to_pylist()) == {7}
+        return took
+
+    few, many = run(2), run(1024)
+    assert many < 5 * few + 1

@@ -169,12 +169,14 @@ def _repeated(hot_from: int):
         every, n = np.concatenate(parts), np.concatenate(counts)
         order = np.argsort(every, kind="stable")
         first = np.flatnonzero(np.diff(every[order], prepend=np.uint64((1 << 64) - 1)))
-        total = np.add.reduceat(n[order], first)
-        distinct = every[order][first]
-        again, hot = distinct[total > 1], distinct[total >= hot_from]
-        out = [(c, p[np.isin(p, again, kind="sort")]) for c, p in zip(chunks, parts, strict=True)]
-        out = [(c, p) for c, p in out if len(p)]
-        return _table(chunk=[c for c, _ in out], bucket=[key[0].as_py()] * len(out), payload=[_joined(p, np.isin(p, hot, kind="sort").astype(np.int64)) for _, p in out])
+        total = np.empty_like(n)  # of its fingerprint, for each row
+        total[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(every))))
+        out = []
+        for c, p, t in zip(chunks.tolist(), parts, np.split(total, np.cumsum([len(p) for p in parts])[:-1]), strict=True):
+            again = t > 1
+            if again.any():
+                out.append((c, _joined(p[again], (t[again] >= hot_from).astype(np.int64))))
+        return _table(chunk=[c for c, _ in out], bucket=[key[0].as_py()] * len(out), payload=[p for _, p in out])
 
     return run
 
@@ -209,11 +211,9 @@ def _runs(length: int, buckets: int):
         c = Chunk(docs, length, buckets)
         c.find()
         mine = c.bucket.astype(np.uint64) << np.uint64(40) | c.print
-        wanted, hot = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        for b, p in zip(known.column("bucket").to_pylist(), known.column("payload").to_pylist(), strict=True):
-            prints, marks = _split(p)
-            wanted = np.append(wanted, np.uint64(b) << np.uint64(40) | prints)
-            hot = np.append(hot, np.uint64(b) << np.uint64(40) | prints[marks > 0])
+        parts = [(np.uint64(b) << np.uint64(40), *_split(p)) for b, p in zip(known.column("bucket").to_pylist(), known.column("payload").to_pylist(), strict=True)]
+        wanted = np.concatenate([np.empty(0, np.uint64), *(b | prints for b, prints, _ in parts)])
+        hot = np.concatenate([np.empty(0, np.uint64), *(b | prints[marks > 0] for b, prints, marks in parts)])
         keep = np.isin(mine, wanted, kind="sort")
         if not keep.any():
             return _table(**rows)
