@@ -186,10 +186,10 @@ _HEAD = np.dtype([("id", "<i8"), ("sub", "<i4"), ("doc", "<i4"), ("at", "<i8"),
 
 def _rows(data: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int, back: bool) -> np.ndarray:
     """A matrix of the ``size`` bytes from ``begin`` on (or before it, backwards), zeros after them."""
-    j = np.arange(width)
-    idx = begin[:, None] - 1 - j if back else begin[:, None] + j
-    out = data[np.clip(idx, 0, max(0, len(data) - 1))]
-    out[j >= size[:, None]] = 0
+    fill = np.zeros(width, dtype=np.uint8)
+    every = np.lib.stride_tricks.sliding_window_view(np.concatenate([fill, data, fill]), width)
+    out = np.ascontiguousarray(every[begin][:, ::-1]) if back else every[begin + width]
+    out[np.arange(width) >= size[:, None]] = 0
     return out
 
 
@@ -264,6 +264,7 @@ def _runs(length: int, buckets: int):
         common = _common(whole[:, :length])
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
         common[cuts] = 0
+        compressor = zstandard.ZstdCompressor(level=1)
         for b, part in zip(bucket[cuts].tolist(), np.split(np.arange(len(order)), cuts[1:]), strict=True):
             i = order[part]
             head = np.zeros(len(i), dtype=_HEAD)
@@ -274,7 +275,7 @@ def _runs(length: int, buckets: int):
             tails = w[:, :length][(j >= common_b[:, None]) & (j < (length - near[i])[:, None])]
             lefts = w[:, length:-2][k < far[i][:, None]]
             columns = b"".join(np.ascontiguousarray(head[f]).tobytes() for f in _HEAD.names)
-            packed = zstandard.ZstdCompressor(level=1).compress(np.int64(len(i)).tobytes() + columns + tails.tobytes() + lefts.tobytes())
+            packed = compressor.compress(np.int64(len(i)).tobytes() + columns + tails.tobytes() + lefts.tobytes())
             rows["bucket"].append(b)
             rows["kind"].append(0)
             rows["payload"].append(packed)
