@@ -4,6 +4,8 @@ The window is first-in first-out: a hit neither moves nor renews an id. Where no
 nothing is ever evicted; where every id's rows lie within N numbers of the order, fewer than N ids come between them. In
 both cases a row is a duplicate exactly when it is not the first of its id. Beyond that the rule is recursive, since an
 evicted id that returns is inserted anew; then every stream is replayed in order with a window of N ids as its only state.
+Rows of equal order numbers follow each other by the columns ``ties``, so that which of them counts does not hang on how
+rows are stored or dealt.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def mark_first_seen(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
+def mark_first_seen(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """The closed form, for streams of at most N distinct ids."""
     if among is None:
-        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*keys, id_col).orderBy(order)) > 1)
-    w = Window.partitionBy(*keys, id_col, among).orderBy(order)
+        return rows.withColumn(out, F.row_number().over(Window.partitionBy(*keys, id_col).orderBy(order, *ties)) > 1)
+    w = Window.partitionBy(*keys, id_col, among).orderBy(order, *ties)
     return rows.withColumn(out, F.col(among) & (F.row_number().over(w) > 1))
 
 
@@ -68,11 +70,11 @@ def _replay(keys: list[int], id_at: int, among: int | None, window: int, out: st
     return run
 
 
-def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
+def mark_fifo(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """The general form: one pass over each stream in order, batch by batch, holding at most two windows of ids and those of a batch."""
     cols = rows.columns
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.BooleanType())])
-    lined = rows.repartition(*keys).sortWithinPartitions(*keys, order)
+    lined = rows.repartition(*keys).sortWithinPartitions(*keys, order, *ties)
     return lined.mapInArrow(_replay([cols.index(k) for k in keys], cols.index(id_col), cols.index(among) if among else None, window, out), schema)
 
 
@@ -85,12 +87,12 @@ def reach(rows: DataFrame, keys: Sequence[str], id_col: str = "trade_id", order:
     return ids or 0, farthest
 
 
-def mark_duplicates(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None) -> DataFrame:
+def mark_duplicates(rows: DataFrame, keys: Sequence[str], window: int, id_col: str = "trade_id", order: str = "seq", out: str = "duplicate", among: str | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Take the closed form where it is exact, as ``reach`` decides, and the general form elsewhere.
 
     ``among`` names a boolean column: only rows where it is true count, others are never duplicates.
     """
     ids, farthest = reach(rows.where(F.col(among)) if among else rows, keys, id_col, order)
     if ids <= window or (farthest is not None and farthest < window):
-        return mark_first_seen(rows, keys, id_col, order, out, among)
-    return mark_fifo(rows, keys, window, id_col, order, out, among)
+        return mark_first_seen(rows, keys, id_col, order, out, among, ties)
+    return mark_fifo(rows, keys, window, id_col, order, out, among, ties)
